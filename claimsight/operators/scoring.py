@@ -26,6 +26,8 @@ from claimsight.operators.timeline import (
     running_totals,
     with_second,
     SEC,
+    fold_copies,
+    unfold_copies,
 )
 
 UNIT = 10_000
@@ -49,23 +51,45 @@ def running_profiles(
     member: str = "member_id",
     provider_ttl: int = 30,
     member_ttl: int = 90,
-    **options,
+    copies: bool = False,
 ) -> DataFrame:
     """Claim with the running state of its provider and member.
 
     The state of a key restarts after a pause of its time to live; the claim
-    itself is part of the state it is compared with.
+    itself is part of the state it is compared with. Set ``copies`` if many
+    rows may be equal in all columns (see ``timeline.running_totals``).
     """
     ordered = df if "arrival" in df.columns else arrival_order(df, provider, member)
-    by_provider = running_totals(
-        ordered, [provider], provider_ttl, order=["arrival"], **options
+    if copies:
+        ordered = fold_copies(ordered)
+    lean = ["arrival", "event_time", *(["copies"] if copies else [])]
+    result = running_totals(
+        ordered,
+        [provider],
+        provider_ttl,
+        order=["arrival"],
+        source=ordered.select(provider, "amount_cents", *lean),
     ).withColumnRenamed("n", "claim_count_30d")
-    by_provider = by_provider.withColumn(
-        "avg_cents_30d", average_cents("total_cents", "claim_count_30d")
-    ).drop("total_cents")
-    return running_totals(
-        by_provider, [member], member_ttl, order=["arrival"], cents=None, **options
+    result = running_totals(
+        result,
+        [member],
+        member_ttl,
+        order=["arrival", "claim_count_30d"],
+        cents=None,
+        source=ordered.select(member, *lean),
     ).withColumnRenamed("n", "member_claim_count_90d")
+    if copies:
+        one = F.lit(1)
+        result = unfold_copies(
+            result,
+            {
+                "claim_count_30d": one,
+                "member_claim_count_90d": one,
+                "total_cents": F.col("amount_cents"),
+            },
+        )
+    average = average_cents("total_cents", "claim_count_30d")
+    return result.withColumn("avg_cents_30d", average).drop("total_cents")
 
 
 def rules(

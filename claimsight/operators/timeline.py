@@ -191,161 +191,110 @@ def running_totals(
     order: list[str],
     at: str = "event_time",
     cents: str | None = "amount_cents",
-    hot_second: int = 1_000_000,
-    slots: int = 2,
+    source: DataFrame | None = None,
+    slot_digits: int = 2,
 ) -> DataFrame:
     """Running count and sum per key that start anew after a pause.
 
     A row counts the rows of its key up to and including itself, in the total
-    order (time, ``order`` columns). The count restarts at a row that comes
+    order (second, ``order`` columns). The count restarts at a row that comes
     ``ttl_days`` or more after its predecessor. Adds ``n`` and, if ``cents`` is
     given, ``total_cents``. Rows without a time are left out.
 
-    ``order`` must start with a digest column (see ``fields.row_digest``): a
-    second of one key with more than ``hot_second`` rows is split by the first
-    ``slots`` digits of it, and equal rows in it are counted once with their
-    number, so that not even such a second has to fit into one task.
+    ``order`` starts with a hex digest of the row (``fields.row_digest``). Its
+    first digits split the rows of one second into slots; rows are totalled per
+    slot, slots ordered inside an hour, hours inside the key, so a task never
+    holds more of one key than an hour's slots or one slot's rows. Equal rows
+    share a slot: remove copies first (``quality.dedup``) or fold them with
+    :func:`fold_copies`, whose ``copies`` column is then taken as the weight.
+
+    ``source`` may be a leaner frame with the same rows to take the totals from.
     """
-    columns = df.columns
-    micros = F.unix_micros(at)
-    timed = with_second(df, at).filter(F.col(SEC).isNotNull())
+    weight = F.col("copies") if "copies" in df.columns else F.lit(1).cast("bigint")
     value = F.col(cents) if cents else F.lit(0).cast("bigint")
-
-    seconds = (
-        timed.groupBy(*keys, SEC)
-        .agg(
-            F.count(F.lit(1)).alias("sec_n"),
-            F.sum(value).alias("sec_total"),
-            F.min(micros).alias("lo"),
-            F.max(micros).alias("hi"),
-        )
-        .withColumn(DAYNO, day_of(SEC))
-    )
-    days = seconds.groupBy(*keys, DAYNO).agg(
-        F.sum("sec_n").alias("day_n"),
-        F.sum("sec_total").alias("day_total"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-    )
-    # A pause of a day or longer can only lie between two days.
-    by_day = Window.partitionBy(*keys).orderBy(DAYNO)
-    pause = F.col("lo") - F.lag("hi").over(by_day)
-    days = days.withColumn(
-        "fresh", F.when(pause < ttl_days * DAY * 1_000_000, 0).otherwise(1)
-    ).withColumn("run", F.sum("fresh").over(by_day))
-    earlier_days = (
-        Window.partitionBy(*keys, "run")
-        .orderBy(DAYNO)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    days = days.select(
+    slot = F.substring(order[0], 1, slot_digits).alias("_slot")
+    timed = with_second(source if source is not None else df, at).filter(
+        F.col(SEC).isNotNull()
+    )
+    slots = (
+        timed.groupBy(*keys, SEC, slot)
+        .agg(F.sum(weight).alias("_n"), F.sum(value * weight).alias("_total"))
+        .withColumn("_hour", F.floor(F.col(SEC) / 3600).cast("bigint"))
+    )
+    base = slots.join(_hour_offsets(slots, keys, ttl_days), [*keys, "_hour"])
+    earlier = Window.partitionBy(*keys, "_hour").orderBy(SEC, "_slot")
+    base = base.select(
         *keys,
-        DAYNO,
-        F.coalesce(F.sum("day_n").over(earlier_days), F.lit(0)).alias("day_n"),
-        F.coalesce(F.sum("day_total").over(earlier_days), F.lit(0)).alias("day_total"),
-    )
-    earlier = (
-        Window.partitionBy(*keys, DAYNO)
-        .orderBy(SEC)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    base = (
-        seconds.withColumn("pre_n", F.sum("sec_n").over(earlier))
-        .withColumn("pre_total", F.sum("sec_total").over(earlier))
-        .join(days, [*keys, DAYNO])
-        .select(
-            *keys,
-            SEC,
-            "sec_n",
-            (F.coalesce("pre_n", F.lit(0)) + F.col("day_n")).alias("base_n"),
-            (F.coalesce("pre_total", F.lit(0)) + F.col("day_total")).alias("base_total"),
-        )
-    )
-    rows = timed.join(base, [*keys, SEC])
-    inside = (
-        Window.partitionBy(*keys, SEC)
-        .orderBy(at, *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    usual = (
-        rows.filter(F.col("sec_n") <= hot_second)
-        .withColumn("n", F.col("base_n") + F.row_number().over(inside))
-        .withColumn("total_cents", F.col("base_total") + F.sum(value).over(inside))
-        .select(*columns, "n", "total_cents")
+        SEC,
+        "_slot",
+        (_before("_n", earlier) + F.col("_hour_n")).alias("_base_n"),
+        (_before("_total", earlier) + F.col("_hour_total")).alias("_base_total"),
     )
-    crowded = _crowded_seconds(
-        rows.filter(F.col("sec_n") > hot_second), columns, keys, at, order, value, slots
+    inside = Window.partitionBy(*keys, SEC, "_slot").orderBy(*order)
+    rows = (
+        with_second(df, at)
+        .filter(F.col(SEC).isNotNull())
+        .withColumn("_slot", slot)
+        .join(base, [*keys, SEC, "_slot"])
+    )
+    up_to = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = {"n": F.col("_base_n") + F.sum(weight).over(up_to)}
+    if cents:
+        added["total_cents"] = F.col("_base_total") + F.sum(value * weight).over(up_to)
+    return rows.select(*df.columns, *[v.alias(k) for k, v in added.items()])
+
+
+def _before(col: str, ordered) -> Column:
+    """Sum over the rows before the current one."""
+    frame = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(col).over(frame), F.lit(0))
+
+
+def _hour_offsets(slots: DataFrame, keys: list[str], ttl_days: int) -> DataFrame:
+    """Totals of the same run before each hour. Pauses only lie between hours."""
+    hours = slots.groupBy(*keys, "_hour").agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_total").alias("_total"),
+        F.min(SEC).alias("_lo"),
+        F.max(SEC).alias("_hi"),
+    )
+    by_hour = Window.partitionBy(*keys).orderBy("_hour")
+    pause = F.col("_lo") - F.lag("_hi").over(by_hour)
+    fresh = F.when(pause < ttl_days * DAY, 0).otherwise(1)
+    hours = hours.withColumn("_fresh", fresh).withColumn(
+        "_run", F.sum("_fresh").over(by_hour)
+    )
+    of_run = Window.partitionBy(*keys, "_run").orderBy("_hour")
+    return hours.select(
+        *keys,
+        "_hour",
+        _before("_n", of_run).alias("_hour_n"),
+        _before("_total", of_run).alias("_hour_total"),
     )
-    result = usual.unionByName(crowded)
-    return result if cents else result.drop("total_cents")
 
 
-def _crowded_seconds(rows, columns, keys, at, order, value, slots) -> DataFrame:
-    """Running totals inside seconds with very many rows of one key.
+def fold_copies(df: DataFrame) -> DataFrame:
+    """Equal rows as one row with their number in ``copies``."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
-    Equal rows are folded into one with a count, the rest is split by time and
-    the first digits of the digest; only the slot totals are ordered per key.
-    """
-    folded = (
-        rows.groupBy(*columns, SEC, "base_n", "base_total")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("slot", F.substring(order[0], 1, slots))
-        .withColumn("worth", value * F.col("copies"))
-    )
-    place = [at, "slot"]
-    totals = folded.groupBy(*keys, SEC, *place).agg(
-        F.sum("copies").alias("slot_n"), F.sum("worth").alias("slot_total")
-    )
-    # Microseconds and slots of one second: first per microsecond, then inside it.
-    moments = totals.groupBy(*keys, SEC, at).agg(
-        F.sum("slot_n").alias("moment_n"), F.sum("slot_total").alias("moment_total")
-    )
-    before = lambda part, by: (
-        Window.partitionBy(*part).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    zero = lambda col, w: F.coalesce(F.sum(col).over(w), F.lit(0))
-    w_moment = before([*keys, SEC], [at])
-    moments = moments.select(
-        *keys,
-        SEC,
-        at,
-        zero("moment_n", w_moment).alias("m_n"),
-        zero("moment_total", w_moment).alias("m_total"),
-    )
-    w_slot = before([*keys, SEC, at], ["slot"])
-    offsets = totals.select(
-        *keys,
-        SEC,
-        *place,
-        zero("slot_n", w_slot).alias("s_n"),
-        zero("slot_total", w_slot).alias("s_total"),
-    ).join(moments, [*keys, SEC, at])
-    w_row = before([*keys, SEC, *place], order)
-    placed = (
-        folded.withColumn("r_n", zero("copies", w_row))
-        .withColumn("r_total", zero("worth", w_row))
-        .join(offsets, [*keys, SEC, *place])
-        .withColumn("from_n", sum_of("base_n", "m_n", "s_n", "r_n"))
-        .withColumn("from_total", sum_of("base_total", "m_total", "s_total", "r_total"))
-    )
-    # Unfold the copies in two steps, spread over the tasks in between.
-    chunk = 10_000
-    starts = placed.select(
-        "*", F.explode(F.expr(f"sequence(1L, copies, {chunk}L)")).alias("first")
-    ).repartition(F.col(order[0]), F.col("first"))
-    copies = starts.select(
-        "*",
-        F.explode(
-            F.sequence(F.col("first"), F.least(F.col("copies"), F.col("first") + chunk - 1))
-        ).alias("copy"),
-    )
-    return copies.withColumn("n", F.col("from_n") + F.col("copy")).withColumn(
-        "total_cents", F.col("from_total") + value * F.col("copy")
-    ).select(*columns, "n", "total_cents")
 
+def unfold_copies(df: DataFrame, counted: dict[str, Column], chunk: int = 10_000) -> DataFrame:
+    """One row per copy again.
 
-def sum_of(*cols: str) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(c) for c in cols])
+    ``counted`` maps running columns to what each copy adds to them, so that the
+    copies of a row get consecutive values. Large groups are cut into chunks and
+    spread over the tasks before they are written out.
+    """
+    starts = F.expr(f"sequence(1L, copies, {chunk}L)")
+    parts = df.select("*", F.explode(starts).alias("_first")).repartition(
+        F.xxhash64(*[c for c in df.columns if c != "copies"], "_first")
+    )
+    last = F.least(F.col("copies"), F.col("_first") + chunk - 1)
+    rows = parts.select("*", F.explode(F.sequence("_first", last)).alias("_copy"))
+    missing = F.col("copies") - F.col("_copy")
+    for name, step in counted.items():
+        rows = rows.withColumn(name, F.col(name) - step * missing)
+    return rows.drop("copies", "_first", "_copy")
 
 
 def previous_second(

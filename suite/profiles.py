@@ -246,19 +246,19 @@ DIGEST_SQL = (
 )
 
 
-def state_sql(key, ttl_days, out, value=None, source="claims"):
+def state_sql(key, ttl_days, out, source, order="sec, arrival"):
     """Running count and sum with restarts, as CTEs ``gaps``, ``runs``."""
     return f"""{out}_gaps AS (SELECT *, CASE WHEN sec - lag(sec) OVER w < {ttl_days * 86400} THEN 0 ELSE 1 END AS fresh
-  FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY sec, arrival)),
-{out}_runs AS (SELECT * EXCLUDE (fresh), sum(fresh) OVER (PARTITION BY {key} ORDER BY sec, arrival ROWS UNBOUNDED PRECEDING) AS run
+  FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY {order})),
+{out}_runs AS (SELECT * EXCLUDE (fresh), sum(fresh) OVER (PARTITION BY {key} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS run
   FROM {out}_gaps),
 {out} AS (SELECT * EXCLUDE (run), count(*) OVER r AS {out}_n, CAST(sum(amount_cents) OVER r AS BIGINT) AS {out}_total
-  FROM {out}_runs WINDOW r AS (PARTITION BY {key}, run ORDER BY sec, arrival ROWS UNBOUNDED PRECEDING))"""
+  FROM {out}_runs WINDOW r AS (PARTITION BY {key}, run ORDER BY {order} ROWS UNBOUNDED PRECEDING))"""
 
 
 STATE_SQL = f""", ordered AS (SELECT *, {DIGEST_SQL} AS arrival FROM claims),
 {state_sql("provider_npi", 30, "prov", source="ordered")},
-{state_sql("member_id", 90, "memb", source="prov")},
+{state_sql("member_id", 90, "memb", source="prov", order="sec, arrival, prov_n")},
 profiled AS (SELECT * EXCLUDE (prov_n, memb_n, prov_total, memb_total), prov_n AS claim_count_30d,
   (2 * prov_total + prov_n) // (2 * prov_n) AS avg_cents_30d, memb_n AS member_claim_count_90d FROM memb)"""
 
