@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["profiles", "scores"]
+MODULES = ["profiles", "scores", "quality_checks"]
 
 
 def load():
