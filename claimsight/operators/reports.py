@@ -140,8 +140,7 @@ def histogram_quantiles(hist: DataFrame, by: list[str], quantiles: list[float])
         F.coalesce(F.lag("bound").over(w), F.lit(0.0)).alias("low"),
         F.coalesce(F.lag("cumulative").over(w), F.lit(0)).alias("below"),
         total.alias("total"),
-        F.explode(F.array(*[F.lit(q) for q in quantiles])).alias("quantile"),
-    )
+    ).withColumn("quantile", F.explode(F.array(*[F.lit(q) for q in quantiles])))
     rank = F.col("quantile") * F.col("total")
     hit = steps.filter(
         (F.col("cumulative") >= rank)

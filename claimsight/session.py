@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STATE_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -66,3 +66,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` the work folder if it has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(work_root(spark))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the work folder, for results that are used again."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

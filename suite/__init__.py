@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["profiles", "scores", "quality_checks"]
+MODULES = ["profiles", "quality_checks", "scores", "summaries", "streams"]
 
 
 def load():
