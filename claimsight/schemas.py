@@ -7,8 +7,17 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(12, 2)
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(columns: str) -> T.StructType:
+    """Schema from ``name TYPE`` pairs; needs no running session."""
+    kinds = {
+        "STRING": T.StringType(),
+        "BIGINT": T.LongType(),
+        "DATE": T.DateType(),
+        "TIMESTAMP": T.TimestampType(),
+        "MONEY": MONEY,
+    }
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
 
 
 PROVIDERS = _schema(
@@ -21,7 +30,7 @@ MEMBERS = _schema("member_id STRING, plan_id STRING, status STRING, enrolled_at
 # One raw claim as it arrives (JSON line, topic value or change-log row).
 CLAIM_MESSAGE = _schema(
     "claim_id STRING, provider_npi STRING, provider_name STRING, member_id STRING, "
-    "procedure_code STRING, diagnosis_code STRING, amount DECIMAL(12,2), "
+    "procedure_code STRING, diagnosis_code STRING, amount MONEY, "
     "service_date STRING, submitted_at STRING, status STRING"
 )
 
