@@ -205,20 +205,19 @@ def throughput(df: DataFrame, at: str, label: Column, every: str = "1 minute") -
 
 
 def sliding_counts(
-    df: DataFrame, at: str, size: str, slide: str, by: list[str], *values: Column
+    df: DataFrame, at: str, size: str, slide: str, by: list[str]
 ) -> DataFrame:
-    """Counts (and further aggregates) in sliding windows."""
+    """Counts in sliding windows. Rows are counted per slide first, so that the
+    copies a sliding window makes are copies of counts and not of rows."""
+    slices = df.groupBy(F.window(at, slide).alias("s"), *by).agg(F.count(ROWS).alias("n"))
     return (
-        df.groupBy(F.window(at, size, slide).alias("w"), *by)
-        .agg(F.count(ROWS).alias("n"), *values)
-        .select(F.col("w.start").alias("window_start"), *by, "n", *_names(values))
+        slices.select(F.window_time("s").alias("at"), *by, "n")
+        .groupBy(F.window("at", size, slide).alias("w"), *by)
+        .agg(F.sum("n").alias("n"))
+        .select(F.col("w.start").alias("window_start"), *by, "n")
     )
 
 
-def _names(values) -> list[str]:
-    return [v._jc.toString().rsplit(" AS ", 1)[-1].strip("`") for v in values]
-
-
 def latency_quantiles(
     df: DataFrame, at: str, micros: str, every: str = "2 minutes"
 ) -> DataFrame:

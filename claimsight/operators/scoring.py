@@ -29,6 +29,7 @@ from claimsight.operators.timeline import (
     fold_copies,
     unfold_copies,
 )
+from claimsight.session import materialize
 
 UNIT = 10_000
 ORDER_COLUMNS = ["claim_id", "amount_cents", "procedure_code", "diagnosis_code", "status"]
@@ -223,8 +224,12 @@ def procedure_limits(history: DataFrame, quantile: float = 0.99) -> DataFrame:
 
 
 def above_limit(df: DataFrame, limits: DataFrame, on: str, limit: str) -> DataFrame:
-    """Flags claims above the limit of their procedure or provider."""
-    return df.join(limits, on, "left").withColumn(
+    """Flags claims above the limit of their procedure or provider.
+
+    The limits are stored first: with their size known, Spark broadcasts a small
+    table and leaves the claims where they are.
+    """
+    return df.join(materialize(limits, "limits"), on, "left").withColumn(
         "above_limit", F.coalesce(F.col("amount_cents") > F.col(limit), F.lit(False))
     )
 

@@ -10,6 +10,8 @@ from claimsight.operators import joins as jn
 from claimsight.operators import quality
 from claimsight.operators import scoring as sc
 from claimsight.operators.timeline import as_of_join
+from claimsight.plans.batch import run_gold, run_silver
+from claimsight.session import work_path
 from suite.fixture import (
     MEMBERS_CTE,
     PROVIDERS_CTE,
@@ -21,7 +23,7 @@ from suite.fixture import (
     with_claims,
 )
 from suite.profiles import DEVIATION, LATEST, STATE_SQL, W30, W90
-from suite.quality_checks import DEDUP_CTE
+from suite.quality_checks import COMPLETE, DEDUP_CTE, MESSAGES, RUN_DATE, RUN_TIME, messages
 from suite.registry import query
 
 RISK_VALUES = ", ".join(f"('{k}', {v})" for k, v in PROCEDURE_RISK.items())
@@ -463,3 +465,27 @@ def champion_challenger(spark, sf_dir):
     strict = sc.blend(sc.apply_rules(profiled, multiple=2, extreme_cents=2_000_000, volume=100))
     df = jn.agreement(jn.compare_scores(usual, strict), risk_tier)
     return result(df.withColumn("mean_delta", F.round("mean_delta", 6)))
+
+
+@query(
+    "gold_from_bronze",
+    with_claims(
+        MESSAGES
+        + f""", best AS (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY event_time DESC, amount_cents DESC,
+    diagnosis_code DESC, substr(sha256(member_id), 1, 16) DESC, procedure_code DESC,
+    substr(sha256(provider_npi), 1, 16) DESC, service_date DESC, status DESC) AS rn
+  FROM messages WHERE {COMPLETE}), silver AS (SELECT * FROM best WHERE rn = 1)"""
+        + CLAIM_VECTOR_SQL.replace("FROM claims", "FROM silver")
+        + "\nSELECT * FROM claim_vectors"
+    ),
+)
+def gold_from_bronze(spark, sf_dir):
+    """Raw lines in a folder through silver to the gold claim vectors, all as tables."""
+    bronze, silver_path = work_path(spark, "bronze"), work_path(spark, "silver")
+    m = messages(spark, sf_dir).withColumns(
+        {"year": F.substring("submitted_at", 1, 4), "month": F.lit("01"), "day": F.lit("01")}
+    )
+    m.hint("rebalance", "year").write.partitionBy("year", "month", "day").json(bronze)
+    run_silver(spark, bronze, silver_path, RUN_DATE, RUN_TIME)
+    made = run_gold(spark, silver_path, work_path(spark, "gold"), RUN_TIME)
+    return result(made["claim_features"], *VECTOR)

@@ -206,3 +206,25 @@ def train_and_score(spark, sf_dir):
     return result(
         scored, "claim_id", "label", "fraud_probability", "model_risk_level", "model_version"
     )
+
+
+@query("parameter_search")
+def parameter_search(spark, sf_dir):
+    """Two tree depths tried on the training claims, with their quality."""
+    rows = training_rows(spark, sf_dir).filter("is_train")
+    _, tried = md.search(rows, depths=(2, 4), rates=(md.RATE,), trees=10)
+    table_rows = [(int(t["maxDepth"]), float(t["stepSize"]), float(t["auc"])) for t in tried]
+    return spark.createDataFrame(table_rows, "max_depth bigint, step_size double, auc double")
+
+
+@query("promoted_scores")
+def promoted_scores(spark, sf_dir):
+    """A weak and a better model compared on held-out claims; the winner scores."""
+    rows = training_rows(spark, sf_dir)
+    fit, held_out = rows.filter("is_train"), rows.filter("NOT is_train")
+    champion = md.train(fit, trees=1, version="gbt-one-tree")
+    challenger = md.train(fit, trees=20, version="gbt-twenty-trees")
+    chosen, _ = md.promote(champion, challenger, held_out, min_gain=0.0)
+    return result(
+        md.predict(held_out, chosen), "claim_id", "fraud_probability", "model_version"
+    )
