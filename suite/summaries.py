@@ -447,24 +447,35 @@ def shared_member_links(spark, sf_dir):
     return result(gr.shared_member_links(claims(spark, sf_dir)))
 
 
-# Communities: providers that share a member through very large claims.
-LARGE = "amount_cents > 9500000"
-COMMUNITY_SQL = f""", pairs AS (SELECT DISTINCT provider_npi AS p, member_id AS m FROM claims WHERE {LARGE}),
-edges AS (SELECT p AS a, m AS b FROM pairs UNION ALL SELECT m, p FROM pairs),
-reach AS (SELECT a AS node, a AS label FROM edges UNION SELECT e.b, r.label FROM reach r JOIN edges e ON e.a = r.node),
+# Communities: providers whose link has enough shared members; the rest stand alone.
+MIN_SHARED = 480
+LINKS_CTE = """, pairs AS (SELECT DISTINCT provider_npi, member_id FROM claims),
+anchors AS (SELECT member_id, min(provider_npi) AS anchor FROM pairs GROUP BY 1),
+links AS (SELECT anchor, provider_npi AS provider, count(*) AS shared_members FROM pairs JOIN anchors USING (member_id)
+  WHERE provider_npi > anchor GROUP BY ALL)"""
+COMMUNITY_SQL = (
+    LINKS_CTE
+    + f""", edges AS (SELECT anchor AS a, provider AS b FROM links WHERE shared_members >= {MIN_SHARED}
+  UNION ALL SELECT provider, anchor FROM links WHERE shared_members >= {MIN_SHARED}),
+reach AS (SELECT DISTINCT provider_npi AS node, provider_npi AS label FROM pairs
+  UNION SELECT e.b, r.label FROM reach r JOIN edges e ON e.a = r.node),
 communities AS (SELECT node, min(label) AS community FROM reach GROUP BY node)"""
+)
 
 
 def communities(spark, sf_dir):
-    links = claims(spark, sf_dir).filter(LARGE).select("provider_npi", "member_id").distinct()
-    return gr.communities(links, "provider_npi", "member_id")
+    links = gr.shared_member_links(claims(spark, sf_dir)).filter(
+        F.col("shared_members") >= MIN_SHARED
+    )
+    return gr.communities(links, "anchor", "provider")
 
 
 @query(
     "provider_communities",
-    with_claims(COMMUNITY_SQL + "\nSELECT node, community FROM communities").replace(
-        "WITH claims", "WITH RECURSIVE claims"
-    ),
+    with_claims(
+        COMMUNITY_SQL
+        + "\nSELECT node, community FROM communities WHERE node IN (SELECT a FROM edges)"
+    ).replace("WITH claims", "WITH RECURSIVE claims"),
 )
 def provider_communities(spark, sf_dir):
     return result(communities(spark, sf_dir))
