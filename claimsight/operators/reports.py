@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from claimsight.functions.codes import ALERT_THRESHOLD
 from claimsight.operators.quantiles import exact_quantiles
 
-ROWS = F.lit(1)
-
 
 def provider_summary(df: DataFrame, key: str = "provider_npi") -> DataFrame:
     """Count, average (whole cents) and maximum per provider, largest average first."""
     return (
         df.groupBy(key)
         .agg(
-            F.count(ROWS).alias("total"),
+            F.count(F.lit(1)).alias("total"),
             F.sum("amount_cents").alias("_sum"),
             F.max("amount_cents").alias("max_cents"),
         )
@@ -27,7 +25,7 @@ def provider_summary(df: DataFrame, key: str = "provider_npi") -> DataFrame:
 
 
 def rows_per_date(df: DataFrame, column: str = "processing_date") -> DataFrame:
-    return df.groupBy(column).agg(F.count(ROWS).alias("n")).orderBy(column)
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(column)
 
 
 def latest(df: DataFrame, n: int = 5, tie: tuple[str, ...] = ("claim_id",)) -> DataFrame:
@@ -49,7 +47,7 @@ def analyst_profile(
 ) -> DataFrame:
     """Average, count, distinct members and 95th percentile of busy providers."""
     pairs = df.groupBy(key, "member_id").agg(
-        F.count(ROWS).alias("n"), F.sum("amount_cents").alias("total")
+        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("total")
     )
     sums = (
         pairs.groupBy(key)
@@ -86,11 +84,11 @@ def outcome(score: str = "fraud_score", threshold: float = ALERT_THRESHOLD) -> C
 
 
 def outcome_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy(outcome().alias("result")).agg(F.count(ROWS).alias("n"))
+    return df.groupBy(outcome().alias("result")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def risk_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy("risk_level").agg(F.count(ROWS).alias("n"))
+    return df.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cumulative_histogram(
@@ -164,7 +162,7 @@ def alert_rollup(alerts: DataFrame) -> DataFrame:
     )
     levels = ["rule", "provider_npi", "period"]
     grouped = rows.rollup(*levels).agg(
-        F.count(ROWS).alias("alerts"),
+        F.count(F.lit(1)).alias("alerts"),
         F.sum("amount_cents").alias("amount_cents"),
         *[F.grouping(c).alias(f"_{c}") for c in levels],
     )
@@ -178,7 +176,7 @@ def alert_rollup(alerts: DataFrame) -> DataFrame:
 def score_distribution(df: DataFrame, buckets: int = 20) -> DataFrame:
     """Scored claims per risk level and score bucket."""
     bucket = F.least(F.expr(f"fraud_points div {10_000 // buckets}"), F.lit(buckets - 1))
-    return df.groupBy("risk_level", bucket.alias("bucket")).agg(F.count(ROWS).alias("n"))
+    return df.groupBy("risk_level", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def monthly_report(scored: DataFrame) -> DataFrame:
@@ -186,7 +184,7 @@ def monthly_report(scored: DataFrame) -> DataFrame:
     return (
         scored.groupBy(F.date_format("event_time", "yyyy-MM").alias("month"))
         .agg(
-            F.count(ROWS).alias("claims"),
+            F.count(F.lit(1)).alias("claims"),
             F.sum("amount_cents").alias("amount_cents"),
             F.count(F.when(F.col("status") == "REJECTED", 1)).alias("denied"),
             F.count(F.when(F.col("fraud_score") >= ALERT_THRESHOLD, 1)).alias("flagged"),
@@ -199,7 +197,7 @@ def throughput(df: DataFrame, at: str, label: Column, every: str = "1 minute") -
     """Rows per time window and label."""
     return (
         df.groupBy(F.window(at, every).alias("w"), label.alias("result"))
-        .agg(F.count(ROWS).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), "result", "n")
     )
 
@@ -209,7 +207,7 @@ def sliding_counts(
 ) -> DataFrame:
     """Counts in sliding windows. Rows are counted per slide first, so that the
     copies a sliding window makes are copies of counts and not of rows."""
-    slices = df.groupBy(F.window(at, slide).alias("s"), *by).agg(F.count(ROWS).alias("n"))
+    slices = df.groupBy(F.window(at, slide).alias("s"), *by).agg(F.count(F.lit(1)).alias("n"))
     return (
         slices.select(F.window_time("s").alias("at"), *by, "n")
         .groupBy(F.window("at", size, slide).alias("w"), *by)

@@ -420,7 +420,8 @@ def changes(spark, sf_dir):
     return ch.read_changes(change_lines(spark, sf_dir))
 
 
-AMOUNT_CENTS = F.round(F.col("amount").cast("double") * 100).cast("bigint").alias("amount_cents")
+def amount_cents():
+    return F.round(F.col("amount").cast("double") * 100).cast("bigint").alias("amount_cents")
 
 
 @query(
@@ -431,7 +432,7 @@ AMOUNT_CENTS = F.round(F.col("amount").cast("double") * 100).cast("bigint").alia
 )
 def read_changes(spark, sf_dir):
     return result(
-        changes(spark, sf_dir), "claim_id", "member_id", AMOUNT_CENTS, "status", "op", "ts_ms"
+        changes(spark, sf_dir), "claim_id", "member_id", amount_cents(), "status", "op", "ts_ms"
     )
 
 
@@ -449,7 +450,7 @@ SELECT claim_id, member_id, amount_cents, status FROM last WHERE rn = 1 AND op <
 def state_as_of(spark, sf_dir):
     moment = F.unix_seconds(F.lit("1998-07-01").cast("timestamp")) * 1000
     df = ch.state_as_of(changes(spark, sf_dir), moment)
-    return result(df, "claim_id", "member_id", AMOUNT_CENTS, "status")
+    return result(df, "claim_id", "member_id", amount_cents(), "status")
 
 
 @query("apply_changes", _state_sql("true"))
@@ -459,7 +460,7 @@ def apply_changes(spark, sf_dir):
     moment = F.unix_seconds(F.lit("1998-07-01").cast("timestamp")) * 1000
     base = ch.state_as_of(feed, moment)
     df = ch.apply_changes(base, feed.filter(F.col("ts_ms") > moment))
-    return result(df, "claim_id", "member_id", AMOUNT_CENTS, "status")
+    return result(df, "claim_id", "member_id", amount_cents(), "status")
 
 
 @query(

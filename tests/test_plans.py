@@ -1,8 +1,10 @@
 """Batch plans, tables, sources and the shape of physical plans."""
 
+import os
+import subprocess
+import sys
 from datetime import date, datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from claimsight.operators import quality, tables
@@ -203,3 +205,9 @@ def test_features_use_only_the_past(spark, claims):
     assert tables.checksum(whole.select(columns)) == tables.checksum(
         ft.claim_features_at_time(early).select(columns)
     )
+
+
+def test_queries_can_be_listed_without_a_session():
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) < set(e.queries())"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
