@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from claimsight.functions.fields import sample_deviation
 from claimsight.operators import features as ft
-from claimsight.operators.quantiles import exact_quantiles
 from claimsight.operators.scoring import running_profiles
-from claimsight.operators.timeline import as_of_join, rolling_frame
+from claimsight.operators.timeline import rolling_frame
 from suite.fixture import PROVIDERS_CTE, claims, providers, result, tokenized, with_claims
 from suite.registry import query
 

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from claimsight.operators import models as md
