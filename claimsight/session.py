@@ -6,6 +6,8 @@ Nothing in the library creates a session: the caller does, usually with
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -41,20 +43,29 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package although it is not installed."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (a local test) a temporary folder of this machine is taken.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local master may leave that unset
+    and gets a temporary folder of its machine; elsewhere other machines would not see it.
     """
+    share_package(spark)
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        root = named
-    else:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimsight-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/")
+    if not named and context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("name a shared folder in spark.checkpoint.dir")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="claimsight-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
