@@ -72,9 +72,9 @@ SQL: dict[str, str] = {
     "op4_quality_rules": rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, source,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '{_WHITE}'), x -> x <> '') AS w,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{_WHITE}'), lambda x: x <> '') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
          coalesce(text, '') AS text
   FROM documents
 ), win AS (
@@ -88,7 +88,7 @@ WITH docs AS (
   FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM twice) GROUP BY r
 ), measured AS (
   SELECT d.r, doc_id, source, len(w) AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, len(list_distinct(l)) AS n_lines,
          coalesce(c.n, 0) AS n_repeat_words
@@ -116,10 +116,10 @@ FROM ruled r JOIN good g ON r.source IS NOT DISTINCT FROM g.source
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages
 ), f AS (SELECT digest, min(page_id) AS first_id FROM p GROUP BY digest)
-SELECT page_id, octet_length(html::BLOB)::BIGINT AS payload_bytes, digest AS payload_digest,
-       CASE WHEN octet_length(html::BLOB) >= 100 AND page_id <> first_id
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first_id
             THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN octet_length(html::BLOB) >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+       CASE WHEN strlen(html) >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM p JOIN f USING (digest)
 """,
 }

@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from claimsight.llm.blocks import blocks, split_words, sums, texts_of
 
@@ -118,7 +119,7 @@ def count_tokens(
     keep = docs.select(
         *[c for c in docs.columns if c not in ("n_bytes", "n_tokens", "over_limit")]
     )
-    out = keep.schema
+    out = StructType(list(keep.schema.fields))
     for name, kind in (("n_bytes", "long"), ("n_tokens", "long"), ("over_limit", "boolean")):
         out = out.add(name, kind)
 
