@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsight.llm import (
+    jaccard,
     langid,
+    lines,
     main_text,
+    mixing,
     neighbours,
     packing,
     rules,
@@ -24,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select("doc_id", "n_lines", "n_exact", "n_near", "text")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,22 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(_table(spark, sf_dir, "documents"))
+
+
+#: Sources are evened out, languages get fixed shares, text forms are nearly kept.
+MARGINS = {
+    "source": 0.7,
+    "lang": {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1},
+    "topic": 0.9,
+}
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), MARGINS)
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return neighbours.nearest(rows, F.col("vec_id") % 50 == 0)
@@ -56,10 +80,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_token_counts,
         op3_packing,
         op4_quality_rules,
         op5_language_id,
+        op6_jaccard_join,
+        op7_mixing,
         op8_nearest_neighbours,
         op9_warc,
         op10_main_text,
