@@ -141,9 +141,10 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     totals = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     least = F.create_map(*[F.lit(x) for v in languages for x in (v, max(2.0, LEAST_SHARE * totals.get(v, 0)))])
     slots = np.zeros((SLOTS, -(-len(languages) // 64)), np.uint64)
-    frequent = table.filter(F.col("n") >= least[F.col("lang")]).select("lang", "gram").toPandas()
+    frequent = table.filter(F.col("n") >= least[F.col("lang")]).select("lang", "gram").toArrow()
+    names, values = np.array(frequent["lang"].to_pylist(), object), frequent["gram"].to_numpy()
     for i, name in enumerate(languages):
-        h = frequent["gram"][frequent["lang"] == name].to_numpy(np.int64).view(np.uint64)
+        h = values[names == name].astype(np.int64).view(np.uint64)
         for k in range(HASHES):
             slots[positions(h, k), i // 64] |= np.uint64(1 << (i % 64))
     return Filters(languages, slots)

@@ -203,8 +203,8 @@ def nearest(
     stop = chi_square_quantile(confidence, dims)
 
     draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, SAMPLE_ROWS / total))
-    sample = _matrix(lean.filter(draw).select("vector").toPandas()["vector"])
-    sample = sample.reshape(-1, width)
+    sample = lean.filter(draw).select(F.explode("vector").alias("x")).toArrow()["x"].to_numpy()
+    sample = sample.astype(np.float64).reshape(-1, width)
     sample = (sample / np.sqrt((sample * sample).sum(axis=1))[:, None]) @ axes
     parts = min(MOST_CELLS, max(1, len(sample) // 4), -(-total // CELL_POINTS))
     tiles = spark.sparkContext.broadcast(fit_cells(sample, parts) if len(sample) else Cells(
