@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def texts_of(column) -> pa.LargeStringArray:
