@@ -87,13 +87,16 @@ def train(
 def predict(df: DataFrame, model: ClaimModel) -> DataFrame:
     """Adds ``fraud_probability`` (four decimals), its tier and the model version.
 
-    Runs on batch and stream alike; the claim's own columns keep their types.
+    Runs on batch and stream alike; the claim's own columns keep their types. A claim that
+    lacks a feature (it has no time, say) gets 0.
     """
     if "amount" not in df.columns:
         df = df.withColumn("amount", F.col("amount_cents") / 100)
     kept = {f: F.col(f).alias(f"_kept_{f}") for f in FEATURES}
-    scored = model.stages.transform(as_doubles(df.select("*", *kept.values())))
-    probability = F.round(vector_to_array("probability")[1], 4)
+    whole = as_doubles(df.select("*", *kept.values())).fillna(0.0, subset=FEATURES)
+    scored = model.stages.transform(whole)
+    lacking = F.exists(F.array(*[F.col(f"_kept_{f}").isNull() for f in FEATURES]), lambda x: x)
+    probability = F.when(lacking, 0.0).otherwise(F.round(vector_to_array("probability")[1], 4))
     back = {f: F.col(f"_kept_{f}") for f in FEATURES}
     result = scored.withColumns(
         {**back, "fraud_probability": probability, "model_version": F.lit(model.version)}

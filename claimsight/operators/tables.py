@@ -70,33 +70,77 @@ def erase_subjects(df: DataFrame, subjects: DataFrame, on: str) -> DataFrame:
     return df.join(subjects.select(on), on, "left_anti")
 
 
-def erase_in_table(path: str, subjects: DataFrame, on: str, partition: str) -> None:
-    """Erase subjects from a partitioned table, rewriting only touched partitions.
+def replace_partitions(rows: DataFrame, touched: DataFrame, path: str, partition: str) -> None:
+    """Give the touched partitions of a table these rows and no others.
 
-    The new rows go to a work table first: a folder is never read and
-    overwritten in one job. A partition left without rows is removed.
+    The rows are staged in a work table first: a folder is never read and overwritten in one
+    job. A touched partition that gets no row is removed; null is a partition like others.
     """
-    from claimsight.session import work_path
+    from claimsight.session import materialize, work_path
 
-    spark = subjects.sparkSession
-    df = spark.read.parquet(path)
-    touched = df.join(subjects.select(on), on, "left_semi").select(partition).distinct()
-    stage = work_path(spark, "erase")
-    touched.write.parquet(f"{stage}/touched")
-    touched = spark.read.parquet(f"{stage}/touched")
-    kept = erase_subjects(df.join(touched, partition, "left_semi"), subjects, on)
-    kept.select(*df.columns).write.partitionBy(partition).parquet(f"{stage}/kept")
-    fresh = spark.read.schema(df.schema).parquet(f"{stage}/kept")
-    emptied = touched.join(fresh.select(partition).distinct(), partition, "left_anti")
+    spark = rows.sparkSession
+    touched = materialize(touched.select(partition).distinct(), "touched")
+    stage = work_path(spark, "staged")
+    rows.write.partitionBy(partition).parquet(stage)
+    fresh = spark.read.schema(rows.schema).parquet(stage)
     overwrite_partitions(fresh, path, [partition])
+    left = fresh.select(F.col(partition).alias("_left")).distinct()
+    emptied = touched.join(left, F.col(partition).eqNullSafe(F.col("_left")), "left_anti")
     # Partition values are few (days of the table), never rows.
-    for row in emptied.toLocalIterator():
+    for row in emptied.select(F.col(partition).cast("string")).toLocalIterator():
         _delete_partition(spark, path, partition, row[0])
 
 
-def _delete_partition(spark: SparkSession, path: str, partition: str, value) -> None:
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+def in_partitions(df: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """Rows of the partitions that occur in ``touched``, null among them."""
+    values = touched.select(F.col(partition).alias("_touched")).distinct()
+    return df.join(values, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+
+
+def merge_rows(
+    new: DataFrame, path: str, key: str, partition: str, order: tuple[str, ...]
+) -> None:
+    """Merge rows into a partitioned table: one row per key, the greatest by ``order``.
+
+    Rewritten are the partitions of the new rows and those where their keys lie so far; other
+    rows of these partitions stay. The first call makes the table.
+    """
+    from claimsight.operators.quality import dedup
+    from claimsight.session import materialize
+
+    spark = new.sparkSession
+    new = materialize(new, "merge")
+    if not exists(spark, path):
+        overwrite_partitions(new, path, [partition])
+        return
+    old = spark.read.schema(new.schema).parquet(path)
+    held = old.join(new.select(key).distinct(), key, "left_semi").select(partition)
+    touched = materialize(held.unionByName(new.select(partition)).distinct(), "touched")
+    rows = dedup(in_partitions(old, touched, partition).unionByName(new), key, order)
+    replace_partitions(rows.select(*new.columns), touched, path, partition)
+
+
+def erase_in_table(path: str, subjects: DataFrame, on: str, partition: str) -> None:
+    """Erase subjects from a partitioned table, rewriting only touched partitions."""
+    from claimsight.session import materialize
+
+    df = subjects.sparkSession.read.parquet(path)
+    touched = df.join(subjects.select(on), on, "left_semi").select(partition).distinct()
+    touched = materialize(touched, "touched")
+    kept = erase_subjects(in_partitions(df, touched, partition), subjects, on)
+    replace_partitions(kept.select(*df.columns), touched, path, partition)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _delete_partition(spark: SparkSession, path: str, partition: str, value: str | None) -> None:
+    """Remove a partition's folder, named as Spark names it (null and escaped values too)."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    name = names.getPartitionPathString(partition, value)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -119,7 +163,7 @@ def compact(
     Raises if the copy differs. ``files_per_partition`` spreads large partitions.
     """
     df = spark.read.parquet(source)
-    spread = (F.rand(seed=7) * files_per_partition).cast("int")
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
     (
         df.repartition(*[F.col(c) for c in partition_by], spread)
         .write.mode("overwrite")

@@ -199,7 +199,7 @@ def running_totals(
     A row counts the rows of its key up to and including itself, in the total
     order (second, ``order`` columns). The count restarts at a row that comes
     ``ttl_days`` or more after its predecessor. Adds ``n`` and, if ``cents`` is
-    given, ``total_cents``. Rows without a time are left out.
+    given, ``total_cents``. Rows without a time stay, with null statistics.
 
     ``order`` starts with a hex digest of the row (``fields.row_digest``). Its
     first digits split the rows of one second into slots; rows are totalled per
@@ -241,7 +241,11 @@ def running_totals(
     added = {"n": F.col("_base_n") + F.sum(weight).over(up_to)}
     if cents:
         added["total_cents"] = F.col("_base_total") + F.sum(value * weight).over(up_to)
-    return rows.select(*df.columns, *[v.alias(k) for k, v in added.items()])
+    untimed = with_second(df, at).filter(F.col(SEC).isNull())
+    empty = [F.lit(None).cast("bigint").alias(k) for k in added]
+    return rows.select(*df.columns, *[v.alias(k) for k, v in added.items()]).unionByName(
+        untimed.select(*df.columns, *empty)
+    )
 
 
 def _before(col: str, ordered) -> Column:

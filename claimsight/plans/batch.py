@@ -12,6 +12,7 @@ from claimsight.operators import quality, tables
 from claimsight.operators.features import claim_features, member_features, provider_features
 from claimsight.operators.scoring import above_threshold, score_claims, suppress_repeats
 from claimsight.schemas import CORRUPT
+from claimsight.session import materialize
 from claimsight.sources.claims import read_bronze
 
 
@@ -51,9 +52,13 @@ def run_silver(
     run_time: datetime,
     **options,
 ) -> dict[str, int]:
-    """Write silver, replacing the event dates that occur; returns the counts."""
+    """Merge the claims of a run into silver; returns the counts.
+
+    Claims of earlier runs stay: an event date is rewritten with what it held. A claim id that
+    is known keeps its latest version by event time, whichever date that lies on.
+    """
     clean, counts = silver(read_bronze(spark, bronze), run_date, run_time, **options)
-    tables.overwrite_partitions(clean, target, ["event_date"])
+    tables.merge_rows(clean, target, "claim_id", "event_date", ("event_time",))
     return counts.get
 
 
@@ -92,7 +97,11 @@ def run_scoring(
     model=None,
     earlier_alerts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score claims, keep all of them and the new alerts as tables."""
+    """Score claims, keep all of them as a table and add the new alerts to theirs.
+
+    Each run has its own partition of alerts. Alerts of other runs, and ``earlier_alerts``, are
+    not given again; a rerun replaces its own. Returns the scored claims and the new alerts.
+    """
     scored = score_claims(quality.dedup(claims), model).withColumn(
         "scored_at", F.lit(scored_at)
     )
@@ -100,4 +109,11 @@ def run_scoring(
     alerts = above_threshold(stored)
     if earlier_alerts is not None:
         alerts = suppress_repeats(alerts, earlier_alerts)
-    return stored, tables.write_table(alerts, f"{target}/alerts")
+    path, run = f"{target}/alerts", scored_at.strftime("%Y%m%dT%H%M%S")
+    spark = claims.sparkSession
+    if tables.exists(spark, path):
+        known = spark.read.parquet(path).filter(F.col("run") != run)
+        alerts = suppress_repeats(alerts, known)
+    alerts = materialize(alerts.withColumn("run", F.lit(run)), "alerts")
+    tables.overwrite_partitions(alerts, path, ["run"])
+    return stored, alerts

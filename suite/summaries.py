@@ -447,26 +447,18 @@ def shared_member_links(spark, sf_dir):
     return result(gr.shared_member_links(claims(spark, sf_dir)))
 
 
-# Communities: providers whose link has enough shared members; the rest stand alone.
-MIN_SHARED = 480
-LINKS_CTE = """, pairs AS (SELECT DISTINCT provider_npi, member_id FROM claims),
-anchors AS (SELECT member_id, min(provider_npi) AS anchor FROM pairs GROUP BY 1),
-links AS (SELECT anchor, provider_npi AS provider, count(*) AS shared_members FROM pairs JOIN anchors USING (member_id)
-  WHERE provider_npi > anchor GROUP BY ALL)"""
-COMMUNITY_SQL = (
-    LINKS_CTE
-    + f""", edges AS (SELECT anchor AS a, provider AS b FROM links WHERE shared_members >= {MIN_SHARED}
-  UNION ALL SELECT provider, anchor FROM links WHERE shared_members >= {MIN_SHARED}),
+# Communities: providers that billed the same member for the same day; the rest stand alone.
+GROUPS = ["member_id", "service_date"]
+COMMUNITY_SQL = """, pairs AS (SELECT DISTINCT provider_npi, member_id, service_date FROM claims),
+edges AS (SELECT DISTINCT x.provider_npi AS a, y.provider_npi AS b FROM pairs x JOIN pairs y
+  ON x.member_id = y.member_id AND x.service_date = y.service_date AND x.provider_npi <> y.provider_npi),
 reach AS (SELECT DISTINCT provider_npi AS node, provider_npi AS label FROM pairs
   UNION SELECT e.b, r.label FROM reach r JOIN edges e ON e.a = r.node),
 communities AS (SELECT node, min(label) AS community FROM reach GROUP BY node)"""
-)
 
 
 def communities(spark, sf_dir):
-    links = gr.shared_member_links(claims(spark, sf_dir)).filter(
-        F.col("shared_members") >= MIN_SHARED
-    )
+    links = gr.group_links(claims(spark, sf_dir), GROUPS)
     return gr.communities(links, "anchor", "provider")
 
 

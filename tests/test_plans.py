@@ -60,6 +60,78 @@ def test_bronze_to_gold(spark, claims):
     assert "BroadcastHashJoin" in plan_of(again)
 
 
+def test_silver_keeps_claims_of_earlier_runs(spark, claims):
+    """Two runs over overlapping dates; an id that moves to another date is there once."""
+    from pyspark.sql import functions as F
+
+    from claimsight.session import materialize
+
+    days = claims.filter("event_time IS NOT NULL AND amount_cents > 0").orderBy("event_time", "claim_id").limit(60)
+    rows = materialize(days.dropDuplicates(["claim_id"]), "rows")
+    moved = rows.orderBy("claim_id").limit(5)
+    moved = materialize(moved.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 400 DAYS")), "moved")
+    target = work_path(spark, "silver-runs")
+    first = write_bronze(spark, rows.filter("crc32(claim_id) % 2 = 0"))
+    second = write_bronze(spark, rows.filter("crc32(claim_id) % 2 = 1").unionByName(moved))
+    for bronze in (first, second, second):
+        run_silver(spark, bronze, target, **RUN)
+    stored = spark.read.parquet(target)
+    assert stored.count() == rows.count() == stored.select("claim_id").distinct().count()
+    late = {r[0] for r in moved.select("claim_id").collect()}
+    newest = rows.agg(F.max("event_time")).first()[0]
+    got = {r[0] for r in stored.filter(F.col("event_time") > newest).select("claim_id").collect()}
+    assert got == late
+
+
+def test_alerts_of_two_runs_accumulate(spark, claims):
+    target = work_path(spark, "alerts-runs")
+    _, first = run_scoring(claims, target, datetime(2001, 8, 2))
+    for _ in range(2):
+        _, second = run_scoring(claims, target, datetime(2001, 8, 3))
+        assert second.count() == 0
+        assert spark.read.parquet(f"{target}/alerts").count() == first.count() > 0
+
+
+def test_erasure_of_null_and_escaped_partitions(spark):
+    path = work_path(spark, "erase-odd")
+    df = spark.createDataFrame(
+        [("a", "t 10:00"), ("b", "t 10:00"), ("b", None), ("b", "x=y"), ("c", None)],
+        "member_id_token string, part string",
+    )
+    df.write.partitionBy("part").parquet(path)
+    gone = spark.createDataFrame([("b",)], "member_id_token string")
+    tables.erase_in_table(path, gone, "member_id_token", "part")
+    got = {tuple(r) for r in spark.read.parquet(path).select(*df.columns).collect()}
+    assert got == {("a", "t 10:00"), ("c", None)}
+
+
+def test_claims_without_a_time_are_scored(spark, claims):
+    from pyspark.sql import functions as F
+
+    from claimsight.operators.scoring import score_claims
+    from claimsight.operators.quality import dedup
+
+    c = dedup(claims).withColumn(
+        "event_time", F.when(F.crc32("claim_id") % 7 != 0, F.col("event_time"))
+    )
+    scored = score_claims(c)
+    assert scored.count() == c.count()
+    untimed = scored.filter("event_time IS NULL")
+    assert untimed.filter("rule_points IS NULL OR fraud_points IS NULL").count() == 0
+    assert untimed.filter("claim_count_30d IS NOT NULL").count() == 0
+
+
+def test_communities_do_not_depend_on_names(spark):
+    from claimsight.operators.graph import group_links
+
+    rows = [("a", "m1"), ("b", "m1"), ("b", "m2"), ("z", "m2"), ("z", "m3"), ("c", "m3"), ("d", "m4")]
+    for name in ("z", "0"):
+        df = spark.createDataFrame([(p.replace("z", name), m) for p, m in rows], "provider_npi string, m string")
+        got = communities(group_links(df, ["m"]), "anchor", "provider").collect()
+        nodes = {"a", "b", name, "c"}
+        assert {(r.node, r.community) for r in got} == {(n, min(nodes)) for n in nodes}
+
+
 def test_silver_has_no_python_and_no_window(spark, claims):
     clean, _ = silver(as_text_messages(claims), **RUN)
     text = plan_of(clean)
