@@ -10,10 +10,10 @@ from claimsight.session import materialize
 #: Edits between near copies, and characters that a line needs to be compared that way.
 MAX_EDITS = 1
 LEAST_CHARS = 20
-#: Keys with more index rows times rows than this are split by their lines' remainders,
-#: so many times at most.
-HOT_PAIRS = 1024
-SPLITS = 8
+#: Keys with more index rows times rows than this are split by their lines' remainders if
+#: their pairs outnumber all rows, so many times at most.
+HOT_PAIRS = 4096
+SPLITS = 4
 
 KEEP, EXACT, NEAR = 0, 1, 2
 
@@ -134,15 +134,19 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
         load = rows.groupBy("key").agg(
             F.sum(F.col("both").cast("long")).alias("indexed"), F.count("*").alias("rows")
         )
-        hot = F.col("indexed") * F.col("rows") > HOT_PAIRS
-        load = materialize(load.select("key", (hot & F.lit(level < SPLITS)).alias("hot")), "line-load")
+        pairs = F.col("indexed") * F.col("rows")
+        load = materialize(load.select("key", "rows", pairs.alias("pairs")), "line-load")
+        hot = load.filter(F.col("pairs") > HOT_PAIRS)
+        many = hot.agg(F.sum("pairs")).first()[0] or 0
+        split = level < SPLITS and many > (load.agg(F.sum("rows")).first()[0] or 0)
+        load = load.withColumn("hot", (F.col("pairs") > HOT_PAIRS) & F.lit(split))
         cold = rows.join(load.filter("NOT hot"), "key")
         left = cold.filter("both").select("key", F.col("id").alias("a"))
         right = cold.select("key", F.col("id").alias("b"), F.col("both").alias("peer"))
         pairs = left.join(right, "key").filter("a < b OR (a <> b AND NOT peer)")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         found = pairs if found is None else found.unionByName(pairs)
-        if load.filter("hot").isEmpty():
+        if not split:
             break
         again = rows.join(load.filter("hot").select("key"), "key").join(work.select("name", "rest"), "name")
         rest = F.concat(
