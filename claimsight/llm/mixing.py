@@ -85,8 +85,8 @@ def mix(
     drawn if a hash of its id is below the probability: the draw is repeatable, and rows that
     repeat an id share it.
 
-    Nulls and values of less than LEAST_SHARE of the tokens (or without a target) count as one
-    value. Texts that are null or empty have no tokens but are drawn like their cell. Null ids
+    Nulls and values without a target (with a temperature: of less than LEAST_SHARE of the
+    tokens) count as one value. Texts that are null or empty have no tokens but are drawn like their cell. Null ids
     share one draw; an empty table gives no rows; other columns are ignored.
 
     Result: doc_id, tokens, one column per margin, probability, sampled.
@@ -108,9 +108,12 @@ def mix(
         wanted = margins[n]
         shares = rows.groupBy(n).agg(F.sum("tokens").alias("t")).filter(F.col(n).isNotNull())
         large = {
-            r[n]: r["t"] / total
-            for r in shares.filter(F.col("t") >= LEAST_SHARE * max(1, total)).collect()
-            if not isinstance(wanted, dict) or r[n] in wanted
+            r[n]: r["t"] / max(1, total)
+            for r in shares.filter(
+                F.col(n).isin(list(wanted))
+                if isinstance(wanted, dict)
+                else F.col("t") >= LEAST_SHARE * max(1, total)
+            ).collect()
         }
         rest = max(0.0, 1 - sum(large.values()))
         values[n] = sorted(large)
