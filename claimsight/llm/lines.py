@@ -48,13 +48,18 @@ def segments(rest: Column, size: Column, context: Column, edits: int) -> Column:
                         width.alias("width"),
                     )
                 )
-    return F.filter(F.array(*out), lambda x: x["key"].isNotNull())
+    return F.array(*out)
 
 
 def keyed(work: DataFrame, edits: int) -> DataFrame:
-    """Rows (id, name, key, both, at, width) of texts (id, name, context, rest)."""
-    found = segments(F.col("rest"), F.char_length("rest"), F.col("context"), edits)
-    return work.select("id", "name", F.explode(found).alias("k")).select("id", "name", "k.*")
+    """Rows (id, name, key, both, at, width) of texts (id, name, context, rest).
+
+    Length and keys are columns before they are exploded, so each is computed once per text.
+    """
+    sized = work.withColumn("_n", F.char_length("rest"))
+    found = segments(F.col("rest"), F.col("_n"), F.col("context"), edits)
+    rows = sized.select("id", "name", found.alias("_keys")).select("id", "name", F.explode("_keys").alias("k"))
+    return rows.select("id", "name", "k.*").filter(F.col("key").isNotNull())
 
 
 def shared(rows: DataFrame) -> DataFrame:
