@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,11 @@ CAPACITY = 2048
 LONGEST_PIECE = 512
 GROUP_PIECES = 1500
 #: Distinct words that a worker remembers, and the longest it remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 CACHE_CHARS = 64
+#: Words that are encoded as one text, and the sign that parts them there.
+RUN_WORDS = 128
+MARK = "|"
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -44,43 +48,57 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-
-    def _slots(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.known: dict[str, bytes] = {}
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as unsigned 32-bit numbers.
+
+        Many words are encoded as one text with a mark between them, whose id then parts
+        their ids. Words that hold the mark's sign are encoded alone, special strings among
+        them, and so are all if the marks do not come back as sent.
+        """
+        out: list[bytes | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if MARK not in w] if self.mark is not None else []
+        runs = [
+            "".join([f"{words[i]} {MARK} " for i in plain[lo : lo + RUN_WORDS]])
+            for lo in range(0, len(plain), RUN_WORDS)
+        ]
+        made = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in made]) if made else np.empty(0, np.uint32)
+        ends = np.flatnonzero(ids == self.mark)
+        if len(ends) == len(plain):
+            raw, start = ids.tobytes(), 0
+            for i, end in zip(plain, (4 * ends).tolist()):
+                out[i] = raw[start:end]
+                start = end + 4
+        alone = [i for i, x in enumerate(out) if x is None]
+        made = self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)
+        for i, e in zip(alone, made, strict=True):
+            out[i] = array("I", e.ids).tobytes()
+        return out
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the words end to end, with the start and the number of each word's."""
-        if len(self.slots) > CACHE_WORDS:
-            self._forget()
-        found: list[np.ndarray | None] = [None] * len(words)
-        new = []
-        for i, w in enumerate(words):
-            slot = self.slots.get(w)
-            if slot is None:
-                new.append(i)
-            else:
-                found[i] = self.ids[slot]
+        if len(self.known) > CACHE_WORDS:
+            self.known = {}
+        known = self.known
+        found = [known.get(w) for w in words]
+        new = [i for i, x in enumerate(found) if x is None]
         for lo in range(0, len(new), 20_000):
             part = new[lo : lo + 20_000]
-            made = self.tokenizer.encode_batch(
-                [words[i] for i in part], add_special_tokens=False
-            )
-            for i, e in zip(part, made, strict=True):
-                ids = np.array(e.ids, np.uint32)
+            for i, ids in zip(part, self._encoded([words[i] for i in part]), strict=True):
                 found[i] = ids
                 if len(words[i]) <= CACHE_CHARS:
-                    self.slots[words[i]] = len(self.ids)
-                    self.ids.append(ids)
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate(found) if found else np.empty(0, np.uint32)
-        return flat, np.cumsum(size) - size, size
+                    known[words[i]] = ids
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.uint32), np.cumsum(size) - size, size
 
     def of_texts(self, texts: pa.LargeStringArray, end_id: int):
         """Ids of all texts end to end, ``end_id`` after each, and where each text starts."""
         codes, starts, words = split_words(mapped(texts, byte_table(lower=False)))
-        flat, first, size = self._slots(words.to_pylist())
+        flat, first, size = self._of_words(words.to_pylist())
         length = size[codes]
         tokens = sums(length, starts)
         total = int(tokens.sum())

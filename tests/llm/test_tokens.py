@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 import tokenizers
 
@@ -46,6 +47,17 @@ def test_pieces_cover_all_ids_without_gaps(odd_docs, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+def test_ids_of_words_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    words = ["a|b", "|", "||", "<|endoftext|>", "x<|EndOfText|>y", "it's,", "\u0301a", "\u00a0", "\u3000b", "É!", "x" * 500, "\u037e"]
+    words += [f"w{i}ort." for i in range(300)]
+    ids, bounds = packing.WordIds(path).of_texts(pa.array([" ".join(words), *words, ""], pa.large_string()), 1)
+    for i, text in enumerate([" ".join(words), *words, ""]):
+        want = library.encode(text, add_special_tokens=False).ids + [1]
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == want, text
+
+
 def test_differencing_is_near_equal():
     rng = np.random.default_rng(1)
     sizes = rng.integers(100, 513, 400).tolist()
