@@ -18,48 +18,53 @@ SPLITS = 4
 KEEP, EXACT, NEAR = 0, 1, 2
 
 
-def segments(rest: Column, size: Column, context: Column, edits: int) -> Column:
-    """Index and probe keys of a text with ``size`` characters, as an array of structs.
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(delta, part, shift) of all index and probe keys of a text.
 
     A text of length n is cut into edits + 1 even segments; a text within the edits of another
-    holds one of that one's segments. Keys are (context, length, segment number, segment). A
-    text probes the lengths n - edits to n, each segment only at the positions that leave
-    enough edits for the parts left and right of it. Probes that equal the index key are not
-    repeated: ``both`` rows serve as both.
+    holds one of that one's segments. A text probes the lengths n - edits to n, each segment
+    only at the positions that leave enough edits for the parts left and right of it. Probes
+    without delta and shift equal the index key and are not repeated.
     """
-    parts, out = edits + 1, []
+    out = []
     for delta in range(edits + 1):
-        length = size - delta
-        for i in range(parts):
-            start = F.floor(length * i / parts).cast("int")
-            width = F.floor(length * (i + 1) / parts).cast("int") - start
-            low = max(-i, delta - (edits - i))
-            high = min(i, delta + (edits - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                both = delta == 0 and shift == 0
-                fits = (at >= 0) & (at + width <= size) & (length >= 0)
-                piece = rest.substr(at + 1, width)
-                out.append(
-                    F.struct(
-                        F.when(fits, F.xxhash64(context, length, F.lit(i), piece)).alias("key"),
-                        F.lit(both).alias("both"),
-                        at.alias("at"),
-                        width.alias("width"),
-                    )
-                )
-    return F.array(*out)
+        for part in range(edits + 1):
+            low = max(-part, delta - (edits - part))
+            high = min(part, delta + (edits - part))
+            out += [(delta, part, shift) for shift in range(low, high + 1)]
+    return out
 
 
 def keyed(work: DataFrame, edits: int) -> DataFrame:
     """Rows (id, name, key, both, at, width) of texts (id, name, context, rest).
 
-    Length and keys are columns before they are exploded, so each is computed once per text.
+    Keys are (context, length, segment number, segment); ``both`` rows index and probe. The
+    probes are exploded first and one expression makes the key of each: an array of all keys
+    makes code too large for the compiler.
     """
-    sized = work.withColumn("_n", F.char_length("rest"))
-    found = segments(F.col("rest"), F.col("_n"), F.col("context"), edits)
-    rows = sized.select("id", "name", found.alias("_keys")).select("id", "name", F.explode("_keys").alias("k"))
-    return rows.select("id", "name", "k.*").filter(F.col("key").isNotNull())
+    kinds = F.array(
+        *[
+            F.struct(F.lit(d).alias("delta"), F.lit(i).alias("part"), F.lit(s).alias("shift"))
+            for d, i, s in probes(edits)
+        ]
+    )
+    rows = work.withColumn("_n", F.char_length("rest")).select(
+        "id", "name", "context", "rest", "_n", F.explode(kinds).alias("p")
+    )
+    rows = rows.withColumn("_length", F.col("_n") - F.col("p.delta")).withColumn(
+        "_start", F.expr(f"CAST(_length * p.part DIV {edits + 1} AS INT)")
+    )
+    at = F.col("_start") + F.col("p.shift")
+    width = F.expr(f"CAST(_length * (p.part + 1) DIV {edits + 1} AS INT)") - F.col("_start")
+    fits = (at >= 0) & (at + width <= F.col("_n")) & (F.col("_length") >= 0)
+    return rows.filter(fits).select(
+        "id",
+        "name",
+        F.xxhash64("context", "_length", "p.part", F.col("rest").substr(at + 1, width)).alias("key"),
+        ((F.col("p.delta") == 0) & (F.col("p.shift") == 0)).alias("both"),
+        at.alias("at"),
+        width.alias("width"),
+    )
 
 
 def shared(rows: DataFrame) -> DataFrame:
