@@ -14,6 +14,8 @@ LEAST_CHARS = 20
 #: their pairs outnumber all rows, so many times at most.
 HOT_PAIRS = 4096
 SPLITS = 4
+#: Bits that spare lines without candidates a shuffle (fixed size: 1 MB).
+SLOTS = 1 << 23
 
 KEEP, EXACT, NEAR = 0, 1, 2
 
@@ -170,6 +172,19 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
     return materialize(found.distinct(), "line-pairs"), known
 
 
+def may_be_among(ids: DataFrame) -> Column:
+    """Whether the column ``id`` may be among the ids: one bit per slot, never wrongly no."""
+    slot = F.pmod("id", F.lit(SLOTS))
+    word = F.shiftright(slot, 6).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("id", F.lit(64)).cast("int"))
+    filled = ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    words = ids.sparkSession.range(SLOTS >> 6).select(F.col("id").cast("int").alias("word"))
+    pair = F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    rows = words.join(filled, "word", "left").agg(F.sort_array(F.collect_list(pair)).alias("words"))
+    bits = rows.select(F.transform("words", lambda x: x["bits"]).alias("bits")).scalar()
+    return F.get(bits, word).bitwiseAND(bit) != 0
+
+
 def dedup(
     docs: DataFrame,
     text: str = "text",
@@ -206,7 +221,8 @@ def dedup(
 
     def wanted(ids: DataFrame) -> DataFrame:
         return (
-            long.join(ids, "id", "left_semi")
+            long.filter(may_be_among(ids))
+            .join(ids, "id", "left_semi")
             .groupBy("id")
             .agg(F.min("first").alias("first"), F.min("line").alias("line"))
         )
