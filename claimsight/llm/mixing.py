@@ -29,7 +29,9 @@ def rake(cells: DataFrame, names: list[str], targets: dict[str, list[float]]) ->
 
     ``cells`` has the index of each margin's value and the tokens. All cells are one array,
     bounded by the product of the margins' values. A step fits one margin: a value's factor is
-    its target over the tokens of its cells weighted with the other margins' factors.
+    its target over the tokens of its cells weighted with the other margins' factors. A value
+    whose cells have no tokens gets the mean factor, unless its target is 0 and it is listed
+    (the last value of a margin never is).
     """
     row = cells.agg(F.array_sort(F.collect_list(F.struct(*names, "tokens"))).alias("cells"))
     start = F.struct(*[F.array(*[F.lit(1.0)] * len(targets[n])).alias(n) for n in names])
@@ -45,7 +47,10 @@ def rake(cells: DataFrame, names: list[str], targets: dict[str, list[float]]) ->
 
         def factor(target, k):
             mass = F.aggregate(F.filter("cells", lambda c: c[name] == k), F.lit(0.0), weighted)
-            return F.when(mass > 0, target / mass).otherwise(F.lit(0.0))
+            free = (target > 0) | (k == len(targets[name]) - 1)
+            every = F.aggregate("cells", F.lit(0.0), weighted)
+            mean = F.when(every > 0, 1 / every).otherwise(1.0)
+            return F.when(mass > 0, target / mass).when(free, mean).otherwise(F.lit(0.0))
 
         return F.transform(F.array(*[F.lit(t) for t in targets[name]]), factor)
 
@@ -67,6 +72,19 @@ def rake(cells: DataFrame, names: list[str], targets: dict[str, list[float]]) ->
     return one.select(*[F.col(f"c.{n}").alias(n) for n in names], weight.alias("weight"))
 
 
+def listed_and_rest(listed: list[float], left: float, rest: float) -> list[float]:
+    """Targets of the listed values that occur, then that of all others, now at share ``rest``.
+
+    The others get what the listed shares leave of 1. If that is nothing, they keep their share.
+    """
+    if rest <= 1e-12:
+        return [*listed, 0.0]
+    if left > 1e-9:
+        return [*listed, left]
+    whole = sum(listed)
+    return [(1 - rest) * x / whole if whole else 0.0 for x in listed] + [rest]
+
+
 def mix(
     docs: DataFrame,
     margins: dict[str, float | dict[str, float]],
@@ -79,14 +97,17 @@ def mix(
 
     ``margins`` maps a column (``topic`` may be derived) to target shares by value, or to a
     temperature t: target shares are then the present ones to the power t, but the small values
-    together keep their share. Tokens are words.
+    together keep their share. Target shares that leave something of 1 leave it to the values
+    that are not listed; if they leave nothing, these values keep their present share and the
+    listed ones divide the rest. Tokens are words.
     Cells of margin values are raked to all targets; a document's ``probability`` is its cell's
     weight over the largest, so expected shares of the sample are the targets. A document is
     drawn if a hash of its id is below the probability: the draw is repeatable, and rows that
     repeat an id share it.
 
     Nulls and values without a target (with a temperature: of less than LEAST_SHARE of the
-    tokens) count as one value. Texts that are null or empty have no tokens but are drawn like their cell. Null ids
+    tokens) count as one value. Texts that are null or empty have no tokens but are drawn like
+    their cell, a value without any tokens at the mean rate. Null ids
     share one draw; an empty table gives no rows; other columns are ignored.
 
     Result: doc_id, tokens, one column per margin, probability, sampled.
@@ -118,8 +139,7 @@ def mix(
         rest = max(0.0, 1 - sum(large.values()))
         values[n] = sorted(large)
         if isinstance(wanted, dict):
-            goal = [wanted[v] for v in values[n]]
-            goal.append(max(0.0, 1 - sum(wanted.values())) if rest > 1e-12 else 0.0)
+            goal = listed_and_rest([wanted[v] for v in values[n]], 1 - sum(wanted.values()), rest)
         else:
             even = sum(x**wanted for x in large.values())
             goal = [(1 - rest) * large[v] ** wanted / even for v in values[n]] + [rest if rest > 1e-12 else 0.0]

@@ -119,3 +119,23 @@ def test_mixing_meets_its_targets(odd_docs, no_docs):
     for v in goal:
         assert abs(mass[v] / sum(mass.values()) - goal[v]) < 1e-3
     assert mixing.mix(no_docs, {"lang": goal}).count() == 0
+
+
+def test_mixing_keeps_null_and_unlisted_languages(spark):
+    words = "w " * 20
+    langs = ["en"] * 60 + ["fr"] * 20 + ["de"] * 10 + ["es"] * 10 + [None] * 40 + ["it"] * 10
+    rows = [(i, words, v) for i, v in enumerate(langs)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    goal = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
+    got = mixing.mix(docs, {"lang": goal}).collect()
+    mass = {v: sum(r.tokens * r.probability for r in got if r.lang == v) for v in [*goal, mixing.OTHER]}
+    assert all(r.probability > 0 for r in got)
+    assert abs(mass[mixing.OTHER] / sum(mass.values()) - 50 / 150) < 1e-3
+    for v in goal:
+        assert abs(mass[v] / sum(mass.values()) - goal[v] * 100 / 150) < 1e-3
+    # Shares that leave something leave it to the others; values without tokens are drawn too.
+    got = mixing.mix(docs, {"lang": {"en": 0.5, "fr": 0.4}}).collect()
+    mass = {v: sum(r.tokens * r.probability for r in got if r.lang == v) for v in ["en", "fr", mixing.OTHER]}
+    assert abs(mass[mixing.OTHER] / sum(mass.values()) - 0.1) < 1e-3
+    empty = docs.withColumn("text", F.when(F.col("lang").isNotNull() & (F.col("lang") != "it"), F.col("text")))
+    assert all(r.probability > 0 for r in mixing.mix(empty, {"lang": goal}).collect())
