@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from claimsight.session import materialize
 
-#: Edits between near copies, and characters that a line needs to be compared that way.
-MAX_EDITS = 1
+#: Characters that a line needs to be compared with others, and edits between near copies:
+#: one for each CHARS_AN_EDIT characters of the shorter line, at least one, MAX_EDITS at most.
 LEAST_CHARS = 20
+CHARS_AN_EDIT = 30
+MAX_EDITS = 3
 #: Keys with more index rows times rows than this are split by their lines' remainders if
-#: their pairs outnumber all rows, so many times at most.
+#: their pairs outnumber all rows and their index rows the keys of a line, so many times at most.
 HOT_PAIRS = 4096
 SPLITS = 4
 #: Bits that spare lines without candidates a shuffle (fixed size: 1 MB).
@@ -37,32 +39,53 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def edits_of(chars: Column, edits: int) -> Column:
+    """Edits that two lines may be apart, the shorter of so many characters."""
+    return F.greatest(F.lit(1), F.least(F.lit(edits), F.floor(chars / CHARS_AN_EDIT))).cast("int")
+
+
 def keyed(work: DataFrame, edits: int) -> DataFrame:
-    """Rows (id, name, key, both, at, width) of texts (id, name, context, rest).
+    """Rows (id, name, key, edits, both, at, width) of texts (id, name, context, edits, rest).
 
     Keys are (context, length, segment number, segment); ``both`` rows index and probe. The
-    probes are exploded first and one expression makes the key of each: an array of all keys
-    makes code too large for the compiler.
+    edits of a key are those of its length if the text has none yet, so a text probes a
+    shorter length with that length's segments. The probes are exploded first and one
+    expression makes the key of each: an array of all keys makes code too large for the compiler.
     """
     kinds = F.array(
         *[
-            F.struct(F.lit(d).alias("delta"), F.lit(i).alias("part"), F.lit(s).alias("shift"))
-            for d, i, s in probes(edits)
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(e).alias("edits"), F.lit(d).alias("delta"), F.lit(i).alias("part"), F.lit(s).alias("shift")
+                    )
+                    for d, i, s in probes(e)
+                ]
+            )
+            for e in range(1, edits + 1)
         ]
     )
-    rows = work.withColumn("_n", F.char_length("rest")).select(
-        "id", "name", "context", "rest", "_n", F.explode(kinds).alias("p")
+    # A text of the first length of its class also probes lengths of the class below.
+    rows = work.withColumn("_n", F.char_length("rest")).withColumn(
+        "_most", F.coalesce("edits", edits_of(F.col("_n"), edits))
+    )
+    least = F.coalesce("edits", edits_of(F.col("_n") - F.col("_most"), edits))
+    rows = rows.withColumn("_class", F.explode(F.sequence(least, "_most"))).select(
+        "id", "name", "context", "rest", "_n", F.col("edits").alias("_fixed"),
+        F.explode(F.get(kinds, F.col("_class") - 1)).alias("p"),
     )
-    rows = rows.withColumn("_length", F.col("_n") - F.col("p.delta")).withColumn(
-        "_start", F.expr(f"CAST(_length * p.part DIV {edits + 1} AS INT)")
+    rows = rows.withColumn("_length", F.col("_n") - F.col("p.delta"))
+    rows = rows.filter(F.coalesce("_fixed", edits_of(F.col("_length"), edits)) == F.col("p.edits")).withColumn(
+        "_start", F.expr("CAST(_length * p.part DIV (p.edits + 1) AS INT)")
     )
     at = F.col("_start") + F.col("p.shift")
-    width = F.expr(f"CAST(_length * (p.part + 1) DIV {edits + 1} AS INT)") - F.col("_start")
+    width = F.expr("CAST(_length * (p.part + 1) DIV (p.edits + 1) AS INT)") - F.col("_start")
     fits = (at >= 0) & (at + width <= F.col("_n")) & (F.col("_length") >= 0)
     return rows.filter(fits).select(
         "id",
         "name",
         F.xxhash64("context", "_length", "p.part", F.col("rest").substr(at + 1, width)).alias("key"),
+        F.col("p.edits").alias("edits"),
         ((F.col("p.delta") == 0) & (F.col("p.shift") == 0)).alias("both"),
         at.alias("at"),
         width.alias("width"),
@@ -79,49 +102,46 @@ def shared(rows: DataFrame) -> DataFrame:
     )
 
 
-def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two arrays of characters are within the edits, by a bit-parallel band.
+def within(a: Column, b: Column, edits: int | Column) -> Column:
+    """Whether two arrays of characters are within the edits (10 at most), by a bit-parallel band.
 
     Bit k + edits of state e stands for "the first i characters of a and the first i + k of b
     are within e edits". A step takes one character of a and moves whole states: matches keep
     their bit, a substitution takes it from e - 1, a deletion shifts it down, an insertion up.
     """
-    width, n, m = 2 * edits + 1, F.size(a), F.size(b)
-    full = F.lit((1 << width) - 1)
-    first = [(1 << edits)]
-    for _ in range(edits):
-        first.append((first[-1] | (first[-1] << 1)) & ((1 << width) - 1))
-    start = F.struct(*[F.lit(v).alias(f"e{e}") for e, v in enumerate(first)])
-
-    def step(acc, i):
-        c = F.get(a, i)
-        same = None
-        for k in range(-edits, edits + 1):
-            bit = F.when(F.get(b, i + k) == c, F.lit(1 << (k + edits))).otherwise(0)
-            same = bit if same is None else same.bitwiseOR(bit)
-        states = []
-        for e in range(edits + 1):
-            now = acc[f"e{e}"].bitwiseAND(same)
-            if e:
-                before = acc[f"e{e - 1}"]
-                now = (
-                    now.bitwiseOR(before)
-                    .bitwiseOR(F.shiftright(before, 1))
-                    .bitwiseOR(F.shiftleft(states[-1], 1))
-                    .bitwiseAND(full)
-                )
-            states.append(now)
-        return F.struct(*[s.alias(f"e{e}") for e, s in enumerate(states)])
-
-    end = F.aggregate(
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
-        start,
-        step,
-        lambda acc: acc[f"e{edits}"],
-    )
+    edits = F.lit(edits) if isinstance(edits, int) else edits
+    n, m, none = F.size(a), F.size(b), F.array().cast("array<int>")
+
+    def left(value: Column, by: Column) -> Column:
+        return F.call_function("shiftleft", value, by)
+
+    one = F.lit(1)
+    full = left(one, 2 * edits + 1) - 1
+    counts = F.sequence(F.lit(0), edits)
+    first = F.transform(counts, lambda e: left(left(one, e + 1) - 1, edits))
+
+    def step(states, i):
+        same = F.aggregate(
+            F.sequence(-edits, edits),
+            F.lit(0),
+            lambda bits, k: bits.bitwiseOR(F.when(F.get(b, i + k) == F.get(a, i), left(one, k + edits)).otherwise(0)),
+        )
+
+        def state(done, e, same):
+            before = F.get(states, e - 1)
+            moved = before.bitwiseOR(F.shiftright(before, 1)).bitwiseOR(F.shiftleft(F.get(done, e - 1), 1))
+            now = F.get(states, e).bitwiseAND(same).bitwiseOR(F.coalesce(moved, F.lit(0)))
+            return F.concat(done, F.array(now.bitwiseAND(full)))
+
+        return F.get(
+            F.transform(F.array(same), lambda x: F.aggregate(counts, none, lambda done, e: state(done, e, x))), 0
+        )
+
+    chars = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
+    end = F.aggregate(chars, first, step, lambda states: F.get(states, edits))
     inside = F.abs(m - n) <= edits
     return inside & F.coalesce(
-        F.call_function("shiftright", end, m - n + edits).bitwiseAND(F.lit(1)) == 1, F.lit(False)
+        F.call_function("shiftright", end, m - n + edits).bitwiseAND(one) == 1, F.lit(False)
     )
 
 
@@ -131,27 +151,35 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
     ``texts`` has (id, line), repeated freely; ``wanted(ids)`` gives one row (id, line) for
     each of the ids. Keys of a single text are dropped by an aggregation that combines on the
     map side. A hot key, shared by many texts, is not joined with itself: its texts must be
-    near in what the shared segment leaves, so that remainder is cut into segments again, up
-    to SPLITS times.
+    near in what the shared segment leaves, so that remainder is cut into segments again, with
+    the edits of the key, up to SPLITS times.
     """
     first = texts.select(
-        "id", F.col("id").alias("name"), F.lit(0).cast("long").alias("context"), F.col("line").alias("rest")
+        "id",
+        F.col("id").alias("name"),
+        F.lit(0).cast("long").alias("context"),
+        F.lit(None).cast("int").alias("edits"),
+        F.col("line").alias("rest"),
     )
     rows = keyed(first, edits)
     rows = materialize(rows.join(materialize(shared(rows), "line-keys"), "key").distinct(), "line-rows")
     known = materialize(wanted(rows.select("id").distinct()), "line-texts")
     work = known.select(F.col("id").alias("name"), F.col("line").alias("rest"))
+    each = F.array(*[F.lit(len(probes(e))) for e in range(1, edits + 1)])
     found = None
     for level in range(SPLITS + 1):
         load = rows.groupBy("key").agg(
-            F.sum(F.col("both").cast("long")).alias("indexed"), F.count("*").alias("rows")
+            F.sum(F.col("both").cast("long")).alias("indexed"),
+            F.count("*").alias("rows"),
+            F.first("edits").alias("edits"),
         )
         pairs = F.col("indexed") * F.col("rows")
-        load = materialize(load.select("key", "rows", pairs.alias("pairs")), "line-load")
-        hot = load.filter(F.col("pairs") > HOT_PAIRS)
+        large = (pairs > HOT_PAIRS) & (F.col("indexed") > F.get(each, F.col("edits") - 1))
+        load = materialize(load.select("key", "rows", pairs.alias("pairs"), large.alias("large")), "line-load")
+        hot = load.filter("large")
         many = hot.agg(F.sum("pairs")).first()[0] or 0
         split = level < SPLITS and many > (load.agg(F.sum("rows")).first()[0] or 0)
-        load = load.withColumn("hot", (F.col("pairs") > HOT_PAIRS) & F.lit(split))
+        load = load.withColumn("hot", F.col("large") & F.lit(split))
         cold = rows.join(load.filter("NOT hot"), "key")
         left = cold.filter("both").select("key", F.col("id").alias("a"))
         right = cold.select("key", F.col("id").alias("b"), F.col("both").alias("peer"))
@@ -165,7 +193,7 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
             F.col("rest").substr(F.lit(1), F.col("at")),
             F.col("rest").substr(F.col("at") + F.col("width") + 1, F.char_length("rest")),
         )
-        again = again.select("id", F.col("key").alias("context"), rest.alias("rest")).distinct()
+        again = again.select("id", F.col("key").alias("context"), "edits", rest.alias("rest")).distinct()
         work = materialize(again.withColumn("name", F.xxhash64("id", "context", "rest")), "line-rests")
         deeper = keyed(work, edits)
         rows = materialize(deeper.join(shared(deeper), "key").distinct(), "line-rows")
@@ -196,7 +224,8 @@ def dedup(
 
     Lines are what stands between line feeds. Lines are in the order of (id, position); a line
     goes if an equal one is earlier, or if one of at least ``least_chars`` characters, as it has
-    itself, first occurs earlier and is within ``edits`` edits. Lines of white space only stay
+    itself, first occurs earlier and is near: within one edit for each CHARS_AN_EDIT characters
+    of the shorter of both, at least one and ``edits`` at most. Lines of white space only stay
     and do not count. What remains is joined by line feeds.
 
     Documents are identified by id and text, so rows that repeat both keep the same lines, and
@@ -231,7 +260,10 @@ def dedup(
     chars = known.select("id", "first", F.split("line", "").alias("c"))
     a = chars.select(F.col("id").alias("a"), F.col("first").alias("fa"), F.col("c").alias("ca"))
     b = chars.select(F.col("id").alias("b"), F.col("first").alias("fb"), F.col("c").alias("cb"))
-    linked = pairs.join(a, "a").join(b, "b").filter(within(F.col("ca"), F.col("cb"), edits))
+    linked = pairs.join(a, "a").join(b, "b").withColumn(
+        "edits", edits_of(F.least(F.size("ca"), F.size("cb")), edits)
+    )
+    linked = linked.filter(within(F.col("ca"), F.col("cb"), F.col("edits")))
     later = materialize(
         linked.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("id"))
         .distinct()

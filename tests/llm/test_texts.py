@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -139,3 +140,32 @@ def test_mixing_keeps_null_and_unlisted_languages(spark):
     assert abs(mass[mixing.OTHER] / sum(mass.values()) - 0.1) < 1e-3
     empty = docs.withColumn("text", F.when(F.col("lang").isNotNull() & (F.col("lang") != "it"), F.col("text")))
     assert all(r.probability > 0 for r in mixing.mix(empty, {"lang": goal}).collect())
+
+
+def test_line_dedup_with_more_edits_equals_brute_force(spark, monkeypatch):
+    rng = random.Random(3)
+    for hot in (lines.HOT_PAIRS, 2):
+        monkeypatch.setattr(lines, "HOT_PAIRS", hot)
+        found = []
+        for size in (45, 60, 90, 92, 240):
+            base = "".join(rng.choice("abcdefgh é") for _ in range(size))
+            found.append(base)
+            for edits in (1, 2, 3, 4):
+                line = list(base)
+                for _ in range(edits):
+                    at = rng.randrange(len(line))
+                    line[at : at + 1] = rng.choice([[], ["x"], [line[at], "y"]])
+                found.append("".join(line))
+        base = "the same line of some thirty letters and a little more, word for word"
+        found += [base[:40] + "".join(rng.choice("abc") for _ in range(6)) + base[40:] for _ in range(40)]
+        rng.shuffle(found)
+        docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+
+        def allowed(a, b):
+            return max(1, min(lines.MAX_EDITS, min(len(a), len(b)) // lines.CHARS_AN_EDIT))
+
+        want = {
+            i for i, x in enumerate(found) if any(near(y, x, allowed(x, y)) for y in found[:i])
+        }
+        got = {r.doc_id for r in lines.dedup(docs).collect() if r.n_exact + r.n_near}
+        assert got == want
