@@ -49,11 +49,12 @@ SPACE = re.compile(r"\s+")
 class Node:
     __slots__ = (
         "tag", "parent", "children", "outside", "link", "chars", "tags", "link_chars", "link_tags",
-        "density", "total",
+        "density", "total", "marked", "plain", "holds",
     )
 
     def __init__(self, tag: str, parent: Node | None, outside: bool):
         self.tag, self.parent, self.outside = tag, parent, outside
+        self.marked = False
         self.link = tag == "a" or (parent is not None and parent.link)
         self.children: list[Node | str] = []
 
@@ -78,10 +79,11 @@ class Tree(HTMLParser):
                 if node.tag in names:
                     self.here = node.parent
                 node = node.parent
-        outside = self.here.outside or tag in OUTSIDE or _marked(tag, attrs)
+        outside = self.here.outside or tag in OUTSIDE or _hidden(tag, attrs)
         if tag == "header" and not self._open("article") and not self._open("main"):
             outside = True
         node = Node(tag, self.here, outside)
+        node.marked = _marked(tag, attrs)
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
@@ -123,11 +125,15 @@ class Tree(HTMLParser):
 
 
 def _marked(tag: str, attrs) -> bool:
+    if tag in ("html", "body", "article", "main"):
+        return False
+    return any(name in ("class", "id", "role") and value and MARKS.search(value) for name, value in attrs)
+
+
+def _hidden(tag: str, attrs) -> bool:
     if tag in ("html", "body", "article", "main"):
         return False
     for name, value in attrs:
-        if name in ("class", "id", "role") and value and MARKS.search(value):
-            return True
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and value and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
@@ -144,6 +150,22 @@ def _post_order(root: Node) -> list[Node]:
     return order[::-1]
 
 
+def leave_out(root: Node) -> None:
+    """Marked subtrees are outside, unless they hold an article or most of the page's text.
+
+    An article shows by its element, by main or h1; text inside links does not count.
+    """
+    order = _post_order(root)
+    for n in order:
+        kids = [c for c in n.children if isinstance(c, Node) and not c.outside]
+        own = 0 if n.link else sum(len(SPACE.sub(" ", c).strip()) for c in n.children if isinstance(c, str))
+        n.plain = own + sum(k.plain for k in kids)
+        n.holds = n.tag in ("article", "main", "h1") or any(k.holds for k in kids)
+    for n in order:
+        if n.marked and not n.holds and 2 * n.plain <= root.plain:
+            n.outside = True
+
+
 def measure(root: Node) -> list[Node]:
     """Composite text density of every node, and the sum of its children's.
 
@@ -239,6 +261,7 @@ def main_text(html: str) -> str:
     tree = Tree()
     tree.feed(html)
     tree.close()
+    leave_out(tree.root)
     out: list[str] = []
     part: list[str] = []
     for node in select(tree.root):

@@ -18,6 +18,20 @@ def test_main_text():
     assert main_text.main_text("<div>" * 2000 + "deep" + "</div>" * 2000) == "deep"
 
 
+def test_wrappers_named_like_marks_keep_the_article():
+    body = "<p>A long paragraph of the text, with words.</p>" * 5
+    whole = main_text.main_text(f"<div class='x'>{body}</div>")
+    assert whole.count("long paragraph") == 5
+    for name in (
+        "no-sidebar", "has-sidebar", "content-with-sidebar", "post hentry tag-food", "page nav-open",
+        "has-comments", "legal-news",
+    ):
+        page = "<html><body>{}<div class='sidebar'><p>Short aside.</p></div></body></html>"
+        assert main_text.main_text(page.format(f"<div class='{name}'>{body}</div>")) == whole
+        inner = f"<div class='{name}'><article>{body}</article><div class='comments'><p>Nice!</p></div></div>"
+        assert main_text.main_text(page.format(inner)) == whole
+
+
 def test_extract_keeps_all_rows(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
