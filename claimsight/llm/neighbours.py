@@ -24,6 +24,8 @@ SAMPLE_ROWS = 20_000
 QUERY_BLOCK = 4096
 LEAF_POINTS = 128
 LEAVES_AT_ONCE = 8
+#: Rounding of squared distances: copies of one vector are not exactly at distance 0.
+SLACK = 1e-12
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -134,7 +136,7 @@ def search_cell(
         best_s, best_v = np.empty(0), np.empty(0, np.int64)
         kth = bound
         for lo in range(0, len(order), LEAVES_AT_ONCE):
-            if away[order[lo]] > stop * kth:
+            if away[order[lo]] > stop * kth + SLACK:
                 break
             rows = np.concatenate([leaves[i] for i in order[lo : lo + LEAVES_AT_ONCE]])
             score = (vectors[rows] * q).sum(axis=1) / (norms[rows] * norm)
@@ -261,7 +263,7 @@ def nearest(
             for name, vector, cell, bound in frame.itertuples(index=False):
                 q = np.asarray(vector, np.float64)
                 away = tiles.value.squared((q / np.sqrt((q * q).sum())) @ axes)
-                visit = np.flatnonzero(away <= stop * bound)
+                visit = np.flatnonzero(away <= stop * bound + SLACK)
                 visit = visit[visit != cell]
                 if len(visit):
                     yield pd.DataFrame({"query_id": name, "vector": [vector] * len(visit), "bound": bound, "cell": visit})

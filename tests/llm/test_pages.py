@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from claimsight.llm import main_text, neighbours, warc
@@ -78,3 +79,16 @@ def test_neighbours_recall(spark):
     copies = [r.vec_id for r in sorted((r for r in got if r.query_id == 750), key=lambda r: r.rank)]
     assert copies == [700, 701, 702, 703, 704]
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_copies_in_all_leaves_are_seen():
+    stop = neighbours.chi_square_quantile(neighbours.CONFIDENCE, neighbours.DIMENSIONS)
+    axes = neighbours.projection(neighbours.DIMENSIONS, 64)
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        vector = rng.standard_normal(64)
+        ids = rng.permutation(3000)
+        points = pd.DataFrame({"vec_id": ids, "vector": [vector] * 3000})
+        query = pd.DataFrame({"query_id": [5000], "vector": [vector], "bound": [float("inf")]})
+        got = neighbours.search_cell(query, points, axes, stop, 5)
+        assert got["vec_id"].tolist() == [0, 1, 2, 3, 4]
