@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsight.llm import (
+    credentials,
     jaccard,
     langid,
     lines,
     main_text,
+    merkle,
     mixing,
     neighbours,
     packing,
     rules,
+    spelling,
     token_counts,
     warc,
 )
@@ -77,6 +80,23 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents are verified with a text that lost its line breaks."""
+    lost = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    seen = {"text": F.when(lost, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), seen=seen)
+    return rows.drop("siblings")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,6 +110,9 @@ QUERIES: dict[str, Query] = {
         op8_nearest_neighbours,
         op9_warc,
         op10_main_text,
+        op11_secret_scan,
+        op12_spelling_variants,
+        op13_merkle_manifest,
     )
 }
 
@@ -150,3 +173,112 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM p JOIN f USING (digest)
 """,
 }
+
+#: crc32 of the bytes of ``word``, as DuckDB has none: its table from the rule, then a fold.
+_CRC = """
+bits AS (
+  SELECT list(list_reduce(list_prepend(v, range(8)),
+              lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY v) AS t
+  FROM (SELECT unnest(range(256)) AS v)
+)"""
+
+
+def _crc(text: str) -> str:
+    """SQL for the unsigned crc32 of a text; needs ``bits`` in scope."""
+    raw = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), (2 * i + 1)::INT, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {raw}), {step}), 4294967295)"
+
+
+SQL["op12_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC}, runs AS (
+  SELECT doc_id, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents)
+  GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, n, {_crc("concat(doc_id, ':', w)")} AS h FROM runs, bits WHERE length(w) >= 5
+), changed AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN w[1:(h % length(w))::INT] || w[(h % length(w) + 2)::INT:] ELSE w END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), places AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words
+), shorter AS (
+  SELECT DISTINCT word, word[1:p - 1] || word[p + 1:] AS less FROM places
+), masked AS (
+  SELECT word, p, word[1:p - 1] || '*' || word[p + 1:] AS mask FROM places
+), near AS (
+  SELECT s.word AS a, less AS b FROM shorter s JOIN words w ON less = w.word
+  UNION SELECT less, s.word FROM shorter s JOIN words w ON less = w.word
+  UNION SELECT x.word, y.word FROM masked x JOIN masked y ON x.mask = y.mask AND x.word <> y.word
+), best AS (
+  SELECT a, count(*) AS n_near, max(n) AS top, min(b) FILTER (n = m) AS b
+  FROM (SELECT a, b, n, max(n) OVER (PARTITION BY a) AS m FROM near JOIN words ON b = word) GROUP BY a
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN b END AS form,
+         CASE WHEN top >= 2 * n THEN top END AS form_n
+  FROM words LEFT JOIN best ON word = a
+), chain AS (
+  SELECT word, word AS last FROM words
+  UNION ALL SELECT chain.word, form FROM chain JOIN formed f ON last = f.word WHERE form IS NOT NULL
+), ends AS (
+  SELECT chain.word, last AS root FROM chain JOIN formed f ON last = f.word WHERE form IS NULL
+)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM formed JOIN ends USING (word)
+"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    parts = [f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC}, docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")}
+         ELSE {_leaf("text")} END AS seen
+  FROM documents, bits
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM docs
+), lv AS (
+  SELECT 0 AS level, source, i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT level + 1, source, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3
+  FROM lv WHERE n > 1 GROUP BY level, source, i // 3, n
+), subs AS (
+  SELECT source, h AS subroot, level AS top,
+         row_number() OVER (ORDER BY source IS NOT NULL, source) - 1 AS i FROM lv WHERE n = 1
+), up AS (
+  SELECT 0 AS level, i, subroot AS h, count(*) OVER () AS n FROM subs
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY level, i // 3, n
+), runs AS (
+  SELECT p.r, l.level AS step, l.i, l.h, l.i = p.i // (3 ** l.level)::BIGINT AS own
+  FROM placed p JOIN lv l ON l.source IS NOT DISTINCT FROM p.source AND l.n > 1
+   AND l.i // 3 = p.i // (3 ** (l.level + 1))::BIGINT
+  UNION ALL
+  SELECT p.r, s.top + u.level, u.i, u.h, u.i = s.i // (3 ** u.level)::BIGINT
+  FROM placed p JOIN subs s ON s.source IS NOT DISTINCT FROM p.source
+  JOIN up u ON u.n > 1 AND u.i // 3 = s.i // (3 ** (u.level + 1))::BIGINT
+), steps AS (
+  SELECT r, step, coalesce(string_agg(h, '' ORDER BY i) FILTER (NOT own), '') AS others,
+         count(*) FILTER (NOT own AND i < mine) AS before
+  FROM (SELECT *, max(i) FILTER (own) OVER (PARTITION BY r, step) AS mine FROM runs) GROUP BY r, step
+), proofs AS (
+  SELECT r, sha256(string_agg(others, '' ORDER BY step)) AS proof, max(step) AS last FROM steps GROUP BY r
+), folds AS (
+  SELECT r, 0 AS step, seen AS h FROM docs
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(others[1:64 * before] || h || others[64 * before + 1:])
+  FROM folds f JOIN steps s ON s.r = f.r AND s.step = f.step
+)
+SELECT p.doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root,
+       f.h = root AS verified
+FROM placed p JOIN subs s ON s.source IS NOT DISTINCT FROM p.source
+CROSS JOIN (SELECT h AS root FROM up WHERE n = 1) LEFT JOIN proofs USING (r)
+JOIN folds f ON f.r = p.r AND f.step = coalesce(last + 1, 0)
+"""
