@@ -208,14 +208,44 @@ def sliding_counts(
     """Counts in sliding windows. Rows are counted per slide first, so that the
     copies a sliding window makes are copies of counts and not of rows."""
     slices = df.groupBy(F.window(at, slide).alias("s"), *by).agg(F.count(F.lit(1)).alias("n"))
+    return over_slices(slices.select(F.col("s.start").alias("window_start"), *by, "n"), size, slide, by)
+
+
+def over_slices(slices: DataFrame, size: str, slide: str, by: list[str]) -> DataFrame:
+    """Sliding windows from the counts of their slides (``window_start``, by, ``n``)."""
     return (
-        slices.select(F.window_time("s").alias("at"), *by, "n")
-        .groupBy(F.window("at", size, slide).alias("w"), *by)
+        slices.groupBy(F.window("window_start", size, slide).alias("w"), *by)
         .agg(F.sum("n").alias("n"))
         .select(F.col("w.start").alias("window_start"), *by, "n")
     )
 
 
+def log_bucket(value: str, bits: int = 6) -> Column:
+    """Lower bound of the logarithmic bucket of a whole number of 0 or more.
+
+    A bucket keeps the ``bits`` leading binary digits: at most 2^(1 - bits) of the value wide.
+    Counts per bucket add up over batches, machines and time.
+    """
+    shift = f"greatest(0, length(bin({value})) - {bits})"
+    return F.expr(f"shiftleft(shiftright({value}, {shift}), {shift})")
+
+
+def bucket_quantiles(
+    counts: DataFrame, by: list[str], low: str, n: str, quantiles: list[float], name: str
+) -> DataFrame:
+    """Quantiles from counts per bucket: the bucket in which the wanted rank lies."""
+    group = Window.partitionBy(*by)
+    sums = counts.select(
+        *by,
+        low,
+        F.sum(n).over(group.orderBy(low)).alias("_upto"),
+        F.sum(n).over(group).alias("_total"),
+        F.explode(F.array(*[F.lit(q) for q in quantiles])).alias("quantile"),
+    )
+    hit = sums.filter(F.col("_upto") >= F.col("quantile") * F.col("_total"))
+    return hit.groupBy(*by, "quantile").agg(F.min(low).alias(name))
+
+
 def latency_quantiles(
     df: DataFrame, at: str, micros: str, every: str = "2 minutes"
 ) -> DataFrame:

@@ -32,6 +32,7 @@ from claimsight.operators.timeline import (
 from claimsight.session import materialize
 
 UNIT = 10_000
+PROVIDER_TTL, MEMBER_TTL = 30, 90
 ORDER_COLUMNS = ["claim_id", "amount_cents", "procedure_code", "diagnosis_code", "status"]
 
 
@@ -50,15 +51,18 @@ def running_profiles(
     *,
     provider: str = "provider_npi",
     member: str = "member_id",
-    provider_ttl: int = 30,
-    member_ttl: int = 90,
+    provider_ttl: int = PROVIDER_TTL,
+    member_ttl: int = MEMBER_TTL,
     copies: bool = False,
+    provider_carry: DataFrame | None = None,
+    member_carry: DataFrame | None = None,
 ) -> DataFrame:
     """Claim with the running state of its provider and member.
 
     The state of a key restarts after a pause of its time to live; the claim
     itself is part of the state it is compared with. Set ``copies`` if many
-    rows may be equal in all columns (see ``timeline.running_totals``).
+    rows may be equal in all columns (see ``timeline.running_totals``). The
+    carries are the states that earlier claims left.
     """
     ordered = df if "arrival" in df.columns else arrival_order(df, provider, member)
     if copies:
@@ -70,6 +74,7 @@ def running_profiles(
         provider_ttl,
         order=["arrival"],
         source=ordered.select(provider, "amount_cents", *lean),
+        carry=provider_carry,
     ).withColumnRenamed("n", "claim_count_30d")
     result = running_totals(
         result,
@@ -78,6 +83,7 @@ def running_profiles(
         order=["arrival", "claim_count_30d"],
         cents=None,
         source=ordered.select(member, *lean),
+        carry=member_carry,
     ).withColumnRenamed("n", "member_claim_count_90d")
     if copies:
         one = F.lit(1)
@@ -234,12 +240,15 @@ def above_limit(df: DataFrame, limits: DataFrame, on: str, limit: str) -> DataFr
     )
 
 
-def score_claims(df: DataFrame, model=None, **thresholds) -> DataFrame:
-    """Full batch scoring: running state, rules, optional model, tiers.
+def score_claims(
+    df: DataFrame, model=None, carries: dict[str, DataFrame] | None = None, **thresholds
+) -> DataFrame:
+    """Full scoring: running state, rules, optional model, tiers.
 
-    ``model`` is a fitted ``operators.models`` model or None for rules only.
+    ``model`` is a fitted ``operators.models`` model or None for rules only; ``carries``
+    the states of earlier claims, as :func:`running_profiles` takes them.
     """
-    profiled = model_inputs(apply_rules(running_profiles(df), **thresholds))
+    profiled = model_inputs(apply_rules(running_profiles(df, **(carries or {})), **thresholds))
     if model is None:
         return blend(profiled)
     from claimsight.operators.models import predict

@@ -136,12 +136,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if it does not exist."""
+    if not exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _delete_partition(spark: SparkSession, path: str, partition: str, value: str | None) -> None:
     """Remove a partition's folder, named as Spark names it (null and escaped values too)."""
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    name = names.getPartitionPathString(partition, value)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, f"{path}/{names.getPartitionPathString(partition, value)}")
 
 
 def unexpired(df: DataFrame, today: date | Column, years: int = 7, at: str = "event_date"):
@@ -195,10 +207,7 @@ def snapshot_write(df: DataFrame, root: str, taken_at: datetime) -> None:
 
 def list_snapshots(spark: SparkSession, root: str) -> list[str]:
     """Times of all snapshots, from the folder names."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    names = folders(spark, root)
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("snapshot_ts="))
 
 

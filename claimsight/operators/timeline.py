@@ -192,6 +192,7 @@ def running_totals(
     at: str = "event_time",
     cents: str | None = "amount_cents",
     source: DataFrame | None = None,
+    carry: DataFrame | None = None,
     slot_digits: int = 2,
 ) -> DataFrame:
     """Running count and sum per key that start anew after a pause.
@@ -199,7 +200,7 @@ def running_totals(
     A row counts the rows of its key up to and including itself, in the total
     order (second, ``order`` columns). The count restarts at a row that comes
     ``ttl_days`` or more after its predecessor. Adds ``n`` and, if ``cents`` is
-    given, ``total_cents``. Rows without a time stay, with null statistics.
+    given, ``total_cents``. Rows without a time or key stay, with null statistics.
 
     ``order`` starts with a hex digest of the row (``fields.row_digest``). Its
     first digits split the rows of one second into slots; rows are totalled per
@@ -209,19 +210,13 @@ def running_totals(
     :func:`fold_copies`, whose ``copies`` column is then taken as the weight.
 
     ``source`` may be a leaner frame with the same rows to take the totals from.
+    ``carry`` is the state that earlier rows left (:func:`closing_totals`): at most
+    one row per key, with ``n``, ``total_cents`` and ``last_sec``.
     """
-    weight = F.col("copies") if "copies" in df.columns else F.lit(1).cast("bigint")
-    value = F.col(cents) if cents else F.lit(0).cast("bigint")
-    slot = F.substring(order[0], 1, slot_digits).alias("_slot")
-    timed = with_second(source if source is not None else df, at).filter(
-        F.col(SEC).isNotNull()
-    )
-    slots = (
-        timed.groupBy(*keys, SEC, slot)
-        .agg(F.sum(weight).alias("_n"), F.sum(value * weight).alias("_total"))
-        .withColumn("_hour", F.floor(F.col(SEC) / 3600).cast("bigint"))
-    )
-    base = slots.join(_hour_offsets(slots, keys, ttl_days), [*keys, "_hour"])
+    weight, value = _weight(df), F.col(cents) if cents else F.lit(0).cast("bigint")
+    slots = _slots(df if source is None else source, keys, order, at, cents, slot_digits)
+    hours = _hour_offsets(slots, keys, ttl_days, carry)
+    base = slots.join(hours.select(*keys, "_hour", "_hour_n", "_hour_total"), [*keys, "_hour"])
     earlier = Window.partitionBy(*keys, "_hour").orderBy(SEC, "_slot")
     base = base.select(
         *keys,
@@ -231,20 +226,61 @@ def running_totals(
         (_before("_total", earlier) + F.col("_hour_total")).alias("_base_total"),
     )
     inside = Window.partitionBy(*keys, SEC, "_slot").orderBy(*order)
-    rows = (
-        with_second(df, at)
-        .filter(F.col(SEC).isNotNull())
-        .withColumn("_slot", slot)
-        .join(base, [*keys, SEC, "_slot"])
-    )
+    # Rows without a time meet no base. Their whole digest is their slot: no window of all.
+    slot = F.when(F.col(SEC).isNull(), F.col(order[0])).otherwise(_slot(order, slot_digits))
+    rows = with_second(df, at).withColumn("_slot", slot).join(base, [*keys, SEC, "_slot"], "left")
     up_to = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = {"n": F.col("_base_n") + F.sum(weight).over(up_to)}
     if cents:
         added["total_cents"] = F.col("_base_total") + F.sum(value * weight).over(up_to)
-    untimed = with_second(df, at).filter(F.col(SEC).isNull())
-    empty = [F.lit(None).cast("bigint").alias(k) for k in added]
-    return rows.select(*df.columns, *[v.alias(k) for k, v in added.items()]).unionByName(
-        untimed.select(*df.columns, *empty)
+    return rows.select(*df.columns, *[v.alias(k) for k, v in added.items()])
+
+
+def closing_totals(
+    df: DataFrame,
+    keys: list[str],
+    ttl_days: int,
+    *,
+    order: list[str],
+    at: str = "event_time",
+    cents: str | None = "amount_cents",
+    carry: DataFrame | None = None,
+    slot_digits: int = 2,
+) -> DataFrame:
+    """State of :func:`running_totals` after all rows, for the keys that have rows.
+
+    Gives ``keys, n, total_cents, last_sec``; with the state of earlier rows as ``carry``
+    it includes that. An aggregation over the hours of a key.
+    """
+    hours = _hour_offsets(_slots(df, keys, order, at, cents, slot_digits), keys, ttl_days, carry)
+    last = F.max(
+        F.struct(
+            "_hour",
+            (F.col("_hour_n") + F.col("_n")).alias("n"),
+            (F.col("_hour_total") + F.col("_total")).alias("total_cents"),
+        )
+    ).alias("_last")
+    seen = F.max(F.greatest("_hi", "_carry_sec")).alias("last_sec")
+    closed = hours.groupBy(*keys).agg(last, seen)
+    return closed.select(*keys, "_last.n", "_last.total_cents", "last_sec")
+
+
+def _weight(df: DataFrame) -> Column:
+    return F.col("copies") if "copies" in df.columns else F.lit(1).cast("bigint")
+
+
+def _slot(order: list[str], digits: int) -> Column:
+    return F.substring(order[0], 1, digits)
+
+
+def _slots(df, keys, order, at, cents, digits) -> DataFrame:
+    """Rows and cents per key, second and slot."""
+    weight, value = _weight(df), F.col(cents) if cents else F.lit(0).cast("bigint")
+    timed = with_second(df, at).filter(F.col(SEC).isNotNull())
+    return (
+        timed.groupBy(*keys, SEC, _slot(order, digits).alias("_slot"))
+        .agg(F.sum(weight).alias("_n"), F.sum(value * weight).alias("_total"))
+        .withColumn("_hour", F.floor(F.col(SEC) / 3600).cast("bigint"))
     )
 
 
@@ -254,26 +290,50 @@ def _before(col: str, ordered) -> Column:
     return F.coalesce(F.sum(col).over(frame), F.lit(0))
 
 
-def _hour_offsets(slots: DataFrame, keys: list[str], ttl_days: int) -> DataFrame:
-    """Totals of the same run before each hour. Pauses only lie between hours."""
+def _hour_offsets(
+    slots: DataFrame, keys: list[str], ttl_days: int, carry: DataFrame | None = None
+) -> DataFrame:
+    """Hours of a key with the totals of the same run before each. Pauses only lie between hours.
+
+    The run before the first restart goes on from the carried state. Rows that are older than
+    that state's last second make no pause, as in a stream that handles rows when they come.
+    """
     hours = slots.groupBy(*keys, "_hour").agg(
         F.sum("_n").alias("_n"),
         F.sum("_total").alias("_total"),
         F.min(SEC).alias("_lo"),
         F.max(SEC).alias("_hi"),
     )
+    if carry is None:
+        none = F.lit(None).cast("bigint")
+        hours = hours.withColumns({"_carry_n": none, "_carry_total": none, "_carry_sec": none})
+    else:
+        held = carry.select(
+            *keys,
+            F.col("n").alias("_carry_n"),
+            F.col("total_cents").alias("_carry_total"),
+            F.col("last_sec").alias("_carry_sec"),
+        )
+        hours = hours.join(held, keys, "left")
     by_hour = Window.partitionBy(*keys).orderBy("_hour")
-    pause = F.col("_lo") - F.lag("_hi").over(by_hour)
+    pause = F.col("_lo") - F.greatest(F.lag("_hi").over(by_hour), F.col("_carry_sec"))
     fresh = F.when(pause < ttl_days * DAY, 0).otherwise(1)
     hours = hours.withColumn("_fresh", fresh).withColumn(
         "_run", F.sum("_fresh").over(by_hour)
     )
     of_run = Window.partitionBy(*keys, "_run").orderBy("_hour")
+    goes_on = F.col("_run") == 0
     return hours.select(
         *keys,
         "_hour",
-        _before("_n", of_run).alias("_hour_n"),
-        _before("_total", of_run).alias("_hour_total"),
+        "_n",
+        "_total",
+        "_hi",
+        "_carry_sec",
+        (_before("_n", of_run) + F.when(goes_on, F.col("_carry_n")).otherwise(0)).alias("_hour_n"),
+        (_before("_total", of_run) + F.when(goes_on, F.col("_carry_total")).otherwise(0)).alias(
+            "_hour_total"
+        ),
     )
 
 

@@ -38,11 +38,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def parse_lines(df: DataFrame, schema: T.StructType = CLAIM_MESSAGE) -> DataFrame:
+def parse_lines(
+    df: DataFrame, schema: T.StructType = CLAIM_MESSAGE, keep: str | None = None
+) -> DataFrame:
     """Text column ``value`` to typed columns plus ``_corrupt_record``.
 
-    Works on batch and stream. A line that is JSON but no object is corrupt too.
+    Works on batch and stream. A line that is JSON but no object is corrupt too. ``keep``
+    names a column for the text itself.
     """
+    text = [F.col("value").alias(keep)] if keep else []
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col("value"), _with_corrupt(schema), options)
     return df.select(parsed.alias("_m"), "value").select(
@@ -50,6 +54,7 @@ def parse_lines(df: DataFrame, schema: T.StructType = CLAIM_MESSAGE) -> DataFram
         F.when(F.col("_m").isNull(), F.col("value"))
         .otherwise(F.col(f"_m.{CORRUPT}"))
         .alias(CORRUPT),
+        *text,
     )
 
 
