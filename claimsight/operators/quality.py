@@ -88,8 +88,14 @@ def audit_stamp(
     extracted_at: datetime,
     schema_version: str,
     phi_tokenized: bool,
+    record_count: int | None = None,
 ) -> DataFrame:
-    """Adds where a row came from. Every row is one record with its own id."""
+    """Adds where a row came from, an id of its own, and the number of records extracted.
+
+    ``record_count`` is what the extraction reported; without it the rows are counted.
+    """
+    if record_count is None:
+        record_count = df.count()
     return df.withColumns(
         {
             "event_id": F.uuid(),
@@ -98,7 +104,7 @@ def audit_stamp(
             "extracted_at": F.lit(extracted_at),
             "schema_version": F.lit(schema_version),
             "phi_tokenized": F.lit(phi_tokenized),
-            "record_count": F.lit(1).cast("bigint"),
+            "record_count": F.lit(record_count).cast("bigint"),
         }
     )
 

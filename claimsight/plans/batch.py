@@ -6,13 +6,13 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimsight.functions.fields import cents, token
 from claimsight.operators import quality, tables
 from claimsight.operators.features import claim_features, member_features, provider_features
 from claimsight.operators.scoring import above_threshold, score_claims, suppress_repeats
 from claimsight.schemas import CORRUPT
-from claimsight.session import materialize
 from claimsight.sources.claims import read_bronze
 
 
@@ -97,23 +97,46 @@ def run_scoring(
     model=None,
     earlier_alerts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score claims, keep all of them as a table and add the new alerts to theirs.
+    """Score claims and add them, and the new alerts, to the tables of earlier runs.
 
-    Each run has its own partition of alerts. Alerts of other runs, and ``earlier_alerts``, are
-    not given again; a rerun replaces its own. Returns the scored claims and the new alerts.
+    Each run has its own partition of both tables, and a rerun replaces its own. Alerts of
+    other runs, and ``earlier_alerts``, are not given again; runs without any alert, or
+    without any claim, are runs like others. Returns the run's scored claims and new alerts;
+    :func:`latest_scores` reads the claims of all runs.
     """
+    run = scored_at.strftime("%Y%m%dT%H%M%S")
     scored = score_claims(quality.dedup(claims), model).withColumn(
         "scored_at", F.lit(scored_at)
     )
-    stored = tables.write_table(scored.drop("arrival"), f"{target}/scored")
+    path = f"{target}/scored/run={run}"
+    scored.drop("arrival").write.mode("overwrite").parquet(path)
+    stored = claims.sparkSession.read.parquet(path)
     alerts = above_threshold(stored)
     if earlier_alerts is not None:
         alerts = suppress_repeats(alerts, earlier_alerts)
-    path, run = f"{target}/alerts", scored_at.strftime("%Y%m%dT%H%M%S")
-    spark = claims.sparkSession
-    if tables.exists(spark, path):
-        known = spark.read.parquet(path).filter(F.col("run") != run)
-        alerts = suppress_repeats(alerts, known)
-    alerts = materialize(alerts.withColumn("run", F.lit(run)), "alerts")
-    tables.overwrite_partitions(alerts, path, ["run"])
-    return stored, alerts
+    known = _runs(claims.sparkSession, f"{target}/alerts", stored.schema["claim_id"])
+    if known is not None:
+        alerts = suppress_repeats(alerts, known.filter(F.col("run") != run))
+    path = f"{target}/alerts/run={run}"
+    alerts.write.mode("overwrite").parquet(path)
+    return stored, claims.sparkSession.read.schema(stored.schema).parquet(path)
+
+
+def _runs(spark: SparkSession, path: str, *fields: T.StructField) -> DataFrame | None:
+    """The given fields and the run of all rows of a table, None if there was no run yet."""
+    if not tables.exists(spark, path):
+        return None
+    schema = T.StructType([*fields, T.StructField("run", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def latest_scores(spark: SparkSession, target: str) -> DataFrame:
+    """Claims of all runs, each as its last run scored it."""
+    fields = spark.read.option("mergeSchema", "true").parquet(f"{target}/scored").drop("run").schema
+    scored = _runs(spark, f"{target}/scored", *fields)
+    return quality.dedup(scored, "claim_id", ("run",))
+
+
+def all_alerts(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """Alerts of all runs; a claim is alerted once."""
+    return _runs(spark, f"{target}/alerts", *schema.fields)

@@ -14,8 +14,9 @@ from claimsight.functions.codes import (
 )
 from claimsight.functions.fields import composite_token, masked_token, token
 from claimsight.operators import quality, tables
+from claimsight.operators.versions import VersionedTable
 from claimsight.plans.batch import silver
-from claimsight.session import work_path
+from claimsight.session import materialize, work_path
 from claimsight.sources import changes as ch
 from claimsight.sources import claims as src
 from claimsight.sources import files
@@ -194,7 +195,15 @@ def stamped_claims(spark, sf_dir):
     return result(df, "claim_id", "processing_date", "ingested_at", "month")
 
 
-@query("audit_stamp")
+@query(
+    "audit_stamp",
+    with_claims(
+        f"""
+SELECT claim_id, 'core_claims' AS source_system, 'claims-feed-v1' AS connector_id,
+  '{RUN_TIME:%Y-%m-%d %H:%M:%S}' AS extracted_at, 'claims.v3' AS schema_version, CAST(0 AS BIGINT) AS phi_tokenized,
+  (SELECT count(*) FROM claims) AS record_count, CAST(36 AS BIGINT) AS id_chars FROM claims"""
+    ),
+)
 def audit_stamp(spark, sf_dir):
     df = quality.audit_stamp(
         claims(spark, sf_dir).select("claim_id"),
@@ -204,7 +213,7 @@ def audit_stamp(spark, sf_dir):
         schema_version="claims.v3",
         phi_tokenized=False,
     )
-    return result(df)
+    return result(df.withColumn("id_chars", F.length("event_id")).drop("event_id"))
 
 
 @query(
@@ -514,23 +523,82 @@ def unexpired_claims(spark, sf_dir):
 @query(
     "compact_table",
     with_claims(
-        "\nSELECT strftime(event_time, '%Y') AS year, count(*) AS n,"
-        " CAST(sum(amount_cents) AS BIGINT) AS amount_cents FROM claims GROUP BY 1"
+        """
+SELECT claim_id, provider_npi, member_id, procedure_code, diagnosis_code, amount_cents, status,
+  strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, strftime(event_time, '%Y') AS year FROM claims"""
     ),
 )
 def compact_table(spark, sf_dir):
-    source, target = work_path(spark, "small"), work_path(spark, "compact")
-    c = claims(spark, sf_dir).select(
-        "claim_id", "amount_cents", F.date_format("event_time", "yyyy").alias("year")
+    """Three appends leave small files per year; they are merged, all rows are read back."""
+    cols = "claim_id provider_npi member_id procedure_code diagnosis_code amount_cents status event_time".split()
+    year = F.date_format("event_time", "yyyy").alias("year")
+    c = claims(spark, sf_dir).select(*cols, year)
+    t = VersionedTable(spark, work_path(spark, "compact"), "year")
+    for k in range(3):
+        t.append(c.filter(F.pmod(F.xxhash64("claim_id"), F.lit(3)) == k))
+    t.compact()
+    t.clean()
+    return result(t.read())
+
+
+def change_table(spark, sf_dir):
+    """Changes with the month of the service date, the partition of the tables below."""
+    return changes(spark, sf_dir).withColumn("month", F.substring("service_date", 1, 7))
+
+
+@query("merged_table", _state_sql("true"))
+def merged_table(spark, sf_dir):
+    """Changes up to mid 1998, later ones in two parts, each merged into the table."""
+    feed = materialize(change_table(spark, sf_dir), "feed")
+    cuts = [F.unix_seconds(F.lit(d).cast("timestamp")) * 1000 for d in ("1998-07-01", "2000-01-01")]
+    t = VersionedTable(spark, work_path(spark, "merged"), "month")
+    t.merge_changes(feed.filter(F.col("ts_ms") <= cuts[0]), "claim_id")
+    t.merge_changes(feed.filter((F.col("ts_ms") > cuts[0]) & (F.col("ts_ms") <= cuts[1])), "claim_id")
+    t.merge_changes(feed.filter(F.col("ts_ms") > cuts[1]), "claim_id")
+    t.clean()
+    return result(t.read(), "claim_id", "member_id", amount_cents(), "status")
+
+
+@query(
+    "insert_ignored_table",
+    with_claims(
+        """, turns AS (SELECT *, CASE WHEN sec < 946684800 THEN 0 ELSE 1 END AS turn FROM claims),
+firsts AS (SELECT claim_id, min(turn) AS turn FROM turns GROUP BY claim_id)
+SELECT t.claim_id, strftime(min(event_time), '%Y') AS year, min(t.turn)::BIGINT AS turn
+FROM turns t JOIN firsts f ON t.claim_id = f.claim_id AND t.turn = f.turn GROUP BY t.claim_id"""
+    ),
+)
+def insert_ignored_table(spark, sf_dir):
+    """Claims of two turns; ids that the table has are left alone, also when a turn repeats."""
+    rows = claims(spark, sf_dir).select(
+        "claim_id",
+        F.date_format("event_time", "yyyy").alias("year"),
+        F.when(F.col("event_time") < "2000-01-01", 0).otherwise(1).cast("bigint").alias("turn"),
     )
-    c.write.partitionBy("year").parquet(source)
-    tables.compact(spark, source, target, ["year"])
-    year = F.col("year").cast("string").alias("year")
-    return result(
-        spark.read.parquet(target)
-        .groupBy(year)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("amount_cents"))
+    t = VersionedTable(spark, work_path(spark, "ignored"), "year")
+    for turn in (0, 1, 0):
+        t.insert_ignore(rows.filter(F.col("turn") == turn), "claim_id")
+    return result(t.read())
+
+
+@query(
+    "expired_table",
+    with_claims(
+        """
+SELECT claim_id, strftime(event_time, '%Y-%m-%d') AS event_date, amount_cents FROM claims
+WHERE CAST(event_time AS DATE) >= DATE '2003-06-30' - INTERVAL 7 YEAR"""
+    ),
+)
+def expired_table(spark, sf_dir):
+    """Days beyond the retention time are dropped from the table."""
+    rows = claims(spark, sf_dir).select(
+        "claim_id", "amount_cents", F.to_date("event_time").alias("event_date")
     )
+    t = VersionedTable(spark, work_path(spark, "expired"), "event_date")
+    t.append(rows)
+    t.expire(date(2003, 6, 30))
+    t.clean()
+    return result(t.read())
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from claimsight.functions.codes import PROCEDURE_RISK, risk_tier
@@ -10,8 +12,8 @@ from claimsight.operators import joins as jn
 from claimsight.operators import quality
 from claimsight.operators import scoring as sc
 from claimsight.operators.timeline import as_of_join
-from claimsight.plans.batch import run_gold, run_silver
-from claimsight.session import work_path
+from claimsight.plans.batch import all_alerts, latest_scores, run_gold, run_scoring, run_silver
+from claimsight.session import materialize, work_path
 from suite.fixture import (
     MEMBERS_CTE,
     PROVIDERS_CTE,
@@ -209,6 +211,95 @@ def duplicate_claims_24h(spark, sf_dir):
     )
 
 
+def _duplicate_sql(keys):
+    return with_claims(
+        f""", firsts AS (SELECT {keys}, sec, min(claim_id) AS first_id FROM claims GROUP BY ALL),
+gaps AS (SELECT *, sec - lag(sec) OVER (PARTITION BY {keys} ORDER BY sec) AS gap FROM firsts)
+SELECT claim_id, sec AS event_sec, CAST(coalesce(gap <= 86400, false) OR claim_id > first_id AS BIGINT) AS duplicate
+FROM claims JOIN gaps USING ({keys}, sec)"""
+    )
+
+
+def _duplicates(spark, sf_dir, *keys):
+    df = sc.duplicate_claims(claims(spark, sf_dir), keys)
+    return result(df, "claim_id", F.unix_seconds("event_time").alias("event_sec"), "duplicate")
+
+
+@query("prior_claims_24h", _duplicate_sql("member_id, provider_npi, procedure_code"))
+def prior_claims_24h(spark, sf_dir):
+    """Same member, provider and procedure within a day."""
+    return _duplicates(spark, sf_dir, "member_id", "provider_npi", "procedure_code")
+
+
+@query("billed_twice_24h", _duplicate_sql("member_id, provider_npi, procedure_code, amount_cents"))
+def billed_twice_24h(spark, sf_dir):
+    """Same member, provider, procedure and amount within a day."""
+    return _duplicates(spark, sf_dir, "member_id", "provider_npi", "procedure_code", "amount_cents")
+
+
+# Three runs: a quiet one without any alert, claims before 1999, the others and some again.
+RUNS_SQL = DEDUP_CTE + """, turned AS (SELECT *, CASE WHEN amount_cents = 0 AND procedure_code = '99213' THEN 0
+    WHEN event_time < TIMESTAMP '1999-01-01' THEN 1 ELSE 2 END AS turn FROM deduped),
+turns AS (SELECT * FROM turned UNION ALL SELECT * REPLACE (2 AS turn) FROM turned WHERE turn = 1 AND claim_id LIKE '%-1')""" + (
+    STATE_SQL.replace("FROM claims)", "FROM turns)")
+    .replace("PARTITION BY provider_npi", "PARTITION BY turn, provider_npi")
+    .replace("PARTITION BY member_id", "PARTITION BY turn, member_id")
+    + RULES_SQL
+)
+
+
+def scored_runs(spark, sf_dir):
+    c = quality.dedup(claims(spark, sf_dir))
+    turn = (
+        F.when((F.col("amount_cents") == 0) & (F.col("procedure_code") == "99213"), 0)
+        .when(F.col("event_time") < "1999-01-01", 1)
+        .otherwise(2)
+    )
+    c = materialize(c.withColumn("turn", turn), "turns")
+    again = c.filter("turn = 1 AND claim_id LIKE '%-1'")
+    target = work_path(spark, "runs")
+    for k, rows in enumerate((c.filter("turn = 0"), c.filter("turn = 1"), c.filter("turn = 2").unionByName(again))):
+        stored, _ = run_scoring(rows.drop("turn"), target, datetime(2001, 8, 2 + k))
+    return target, stored.schema
+
+
+@query(
+    "scored_after_two_runs",
+    with_claims(
+        RUNS_SQL
+        + """, newest AS (SELECT *, max(turn) OVER (PARTITION BY claim_id) AS last_turn FROM tiered)
+SELECT claim_id, claim_count_30d, member_claim_count_90d, fraud_score, risk_level, '2001080' || (2 + turn) || 'T000000' AS run
+FROM newest WHERE turn = last_turn"""
+    ),
+)
+def scored_after_two_runs(spark, sf_dir):
+    """Claims of three runs, the first without alerts; repeated claims as scored last."""
+    target, _ = scored_runs(spark, sf_dir)
+    return result(
+        latest_scores(spark, target),
+        "claim_id",
+        "claim_count_30d",
+        "member_claim_count_90d",
+        "fraud_score",
+        "risk_level",
+        "run",
+    )
+
+
+@query(
+    "alerts_after_two_runs",
+    with_claims(
+        RUNS_SQL
+        + """, alerts AS (SELECT *, min(turn) OVER (PARTITION BY claim_id) AS first_turn FROM tiered WHERE points >= 6500)
+SELECT claim_id, risk_level, fraud_score, '2001080' || (2 + turn) || 'T000000' AS run FROM alerts WHERE turn = first_turn"""
+    ),
+)
+def alerts_after_two_runs(spark, sf_dir):
+    """Alerts of three runs; a claim that is scored again is not alerted again."""
+    target, schema = scored_runs(spark, sf_dir)
+    return result(all_alerts(spark, target, schema), "claim_id", "risk_level", "fraud_score", "run")
+
+
 @query(
     "above_procedure_limit",
     with_claims(

@@ -447,6 +447,19 @@ def shared_member_links(spark, sf_dir):
     return result(gr.shared_member_links(claims(spark, sf_dir)))
 
 
+@query(
+    "shared_member_pairs",
+    with_claims(
+        """, pairs AS (SELECT DISTINCT provider_npi, member_id FROM claims)
+SELECT x.provider_npi AS left, y.provider_npi AS right, count(*) AS shared_members FROM pairs x JOIN pairs y
+  ON x.member_id = y.member_id AND x.provider_npi < y.provider_npi GROUP BY ALL HAVING count(*) >= 3"""
+    ),
+)
+def shared_member_pairs(spark, sf_dir):
+    """Pairs of providers with three or more members in common."""
+    return result(gr.shared_member_pairs(claims(spark, sf_dir), 3))
+
+
 # Communities: providers that billed the same member for the same day; the rest stand alone.
 GROUPS = ["member_id", "service_date"]
 COMMUNITY_SQL = """, pairs AS (SELECT DISTINCT provider_npi, member_id, service_date FROM claims),
