@@ -21,8 +21,10 @@ def texts_of(column) -> pa.LargeStringArray:
     return texts
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows of about BLOCK_BYTES of text; a longer text stands alone."""
+def blocks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches into runs of rows of about ``size`` bytes of text; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -31,7 +33,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

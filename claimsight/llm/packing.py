@@ -26,6 +26,8 @@ LONGEST_PIECE = 512
 GROUP_PIECES = 1500
 #: Distinct words that a worker remembers, and the longest it remembers.
 CACHE_WORDS = 500_000
+#: Bytes of text that are taken apart at once: the more, the fewer words are looked up twice.
+TEXT_BYTES = 12 << 20
 CACHE_CHARS = 64
 #: Words that are encoded as one text, and the sign that parts them there.
 RUN_WORDS = 128
@@ -133,7 +135,7 @@ def document_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, task, row = encoder(path), TaskContext.get().partitionId(), 0
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, TEXT_BYTES):
             ids, bounds = ids_of.of_texts(texts_of(block.column(text)), end_id)
             data = memoryview(ids.astype("<u4", copy=False)).cast("B")
             doc, start, length, crc, tokens = [], [], [], [], []
