@@ -38,7 +38,10 @@ RECORD = (
 
 
 def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, digest: str) -> bytes:
-    """One WARC/1.1 record as a gzip member. A revisit has the HTTP head only."""
+    """One WARC/1.1 record as a gzip member. A revisit has the HTTP head only.
+
+    The record id holds key and digest, so rows of one key with several payloads differ.
+    """
     head = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
         f"Content-Length: {len(payload)}\r\n\r\n"
@@ -48,7 +51,7 @@ def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{name}>",
+        f"WARC-Record-ID: <urn:page:{name}:{digest}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {uri}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -57,7 +60,7 @@ def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     if refers_to is not None:
         lines += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: <urn:page:{refers_to}>",
+            f"WARC-Refers-To: <urn:page:{refers_to}:{digest}>",
         ]
     body = head if refers_to is not None else head + payload
     lines.append(f"Content-Length: {len(body)}")
@@ -223,7 +226,7 @@ def scan(path: str, start: int, end: int) -> Iterator[tuple[dict[str, str], byte
 
 
 def _number(urn: str | None) -> int | None:
-    text = (urn or "").strip("<>").removeprefix("urn:page:")
+    text = (urn or "").strip("<>").removeprefix("urn:page:").split(":")[0]
     return int(text) if text.lstrip("-").isdigit() else None
 
 
@@ -231,7 +234,8 @@ def read_archives(spark, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame
     """Records of all archives below ``path`` with length and digest of their full payload.
 
     Files are listed by Spark and cut into byte ranges; each range is a row that a task
-    scans. A revisit takes length and digest from the response it refers to.
+    scans. A revisit names the digest of its payload and takes the length from the response
+    of that digest that it refers to.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
     ranges = files.select(
@@ -255,7 +259,9 @@ def read_archives(spark, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame
                         kind,
                         _number(fields.get("warc-refers-to")),
                         len(payload) if whole else None,
-                        hashlib.sha256(payload).hexdigest() if whole else None,
+                        hashlib.sha256(payload).hexdigest()
+                        if whole
+                        else fields["warc-payload-digest"].removeprefix("sha256:"),
                     ))
                     if len(rows) >= 5000:
                         yield pd.DataFrame(rows, columns=columns).astype(_NULLABLE)
@@ -266,22 +272,16 @@ def read_archives(spark, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame
     # One range per row: spread them, or the few rows of the listing stay in one task.
     spread = ranges.repartition(max(1, spark.sparkContext.defaultParallelism * 4), "path", "start")
     records = materialize(spread.mapInPandas(run, RECORD), "warc-records")
-    targets = records.filter("record_type = 'revisit'").select(F.col("refers_to").alias("page_id")).distinct()
-    whole = (
-        records.filter("record_type = 'response'")
-        .join(targets, "page_id", "left_semi")
-        .groupBy(F.col("page_id").alias("refers_to"))
-        .agg(F.min("payload_bytes").alias("bytes"), F.min("payload_digest").alias("digest"))
-    )
+    at = ["refers_to", "payload_digest"]
+    again = records.filter("record_type = 'revisit'").drop("payload_bytes")
     known = records.filter("record_type = 'response'")
-    again = (
-        records.filter("record_type = 'revisit'")
-        .join(whole, "refers_to", "left")
-        .select(
-            "page_id", "url", "record_type", "refers_to",
-            F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
-        )
+    lengths = (
+        known.select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes")
+        .join(again.select(at).distinct(), at, "left_semi")
+        .groupBy(at)
+        .agg(F.min("payload_bytes").alias("payload_bytes"))
     )
+    again = again.join(lengths, at, "left").select(known.columns)
     return known.select(again.columns).unionByName(again)
 
 
