@@ -109,7 +109,17 @@ def fit_cells(sample: np.ndarray, parts: int) -> Cells:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.array(column.tolist(), np.float64)
+    """Vectors as rows, each scaled by a power of two to components below 1.
+
+    The scaling is exact and leaves cosines as they are, but no square over- or underflows.
+    """
+    return _scaled(np.array(column.tolist(), np.float64))
+
+
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    if not rows.size:
+        return rows
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
 
 
 def search_cell(
@@ -129,7 +139,7 @@ def search_cell(
     boxes = Cells(np.array([flat[r].min(axis=0) for r in leaves]), np.array([flat[r].max(axis=0) for r in leaves]))
     out_q, out_v, out_s = [], [], []
     for name, vector, bound in zip(queries["query_id"], queries["vector"], queries["bound"]):
-        q = np.asarray(vector, np.float64)
+        q = _scaled(np.asarray(vector, np.float64)[None])[0]
         norm = np.sqrt((q * q).sum())
         away = boxes.squared((q / norm) @ axes)
         order = np.argsort(away, kind="stable")
@@ -206,7 +216,7 @@ def nearest(
 
     draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, SAMPLE_ROWS / total))
     sample = lean.filter(draw).select(F.explode("vector").alias("x")).toArrow()["x"].to_numpy()
-    sample = sample.astype(np.float64).reshape(-1, width)
+    sample = _scaled(sample.astype(np.float64).reshape(-1, width))
     sample = (sample / np.sqrt((sample * sample).sum(axis=1))[:, None]) @ axes
     parts = min(MOST_CELLS, max(1, len(sample) // 4), -(-total // CELL_POINTS))
     tiles = spark.sparkContext.broadcast(fit_cells(sample, parts) if len(sample) else Cells(
@@ -261,7 +271,7 @@ def nearest(
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, vector, cell, bound in frame.itertuples(index=False):
-                q = np.asarray(vector, np.float64)
+                q = _scaled(np.asarray(vector, np.float64)[None])[0]
                 away = tiles.value.squared((q / np.sqrt((q * q).sum())) @ axes)
                 visit = np.flatnonzero(away <= stop * bound + SLACK)
                 visit = visit[visit != cell]
