@@ -16,9 +16,8 @@ from claimsight.llm.blocks import blocks, texts_of
 GRAM = 4
 SLOTS = 1 << 19
 HASHES = 3
-#: Texts of each language that are learned from, and characters taken of each of these.
+#: Texts of each language that are learned from, whole.
 TEXTS_PER_LANGUAGE = 2000
-CHARS_PER_TEXT = 4000
 #: A language's filter takes n-grams with at least this share of its n-grams.
 LEAST_SHARE = 2e-5
 
@@ -105,8 +104,8 @@ def positions(h: np.ndarray, k: int) -> np.ndarray:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Filters:
     """Fit one filter per language on a bounded sample of labelled texts.
 
-    At most about TEXTS_PER_LANGUAGE texts of each language, chosen by a hash of the key,
-    and the first CHARS_PER_TEXT characters of each are learned from. N-grams are counted
+    At most about TEXTS_PER_LANGUAGE texts of each language, chosen by a hash of key and text,
+    are learned from, whole. N-grams are counted
     on Spark; the driver gets the frequent ones, at most 1 / LEAST_SHARE per language.
     """
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -117,10 +116,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     share = F.create_map(
         *[F.lit(x) for v in languages for x in (v, min(1.0, TEXTS_PER_LANGUAGE / counts[v]))]
     )
-    draw = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.filter(draw < share[F.col(lang)]).select(
-        lang, F.substring(text, 1, CHARS_PER_TEXT).alias("text")
-    )
+    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(1 << 20)) / float(1 << 20)
+    sample = rows.filter(draw < share[F.col(lang)]).select(lang, F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from claimsight.llm.rules import words_of
 from claimsight.session import materialize
 
-#: Values with less than this share of the tokens are one value, so a margin has at most
-#: 1 / LEAST_SHARE + 1 values.
-LEAST_SHARE = 0.005
+#: Values of a margin with targets of their own; the smaller ones of a longer margin share one.
+MOST_VALUES = 200
 OTHER = "(other)"
 #: Rounds of raking over all margins, and how strongly shares are evened out by default.
 ROUNDS = 40
@@ -24,14 +23,16 @@ def form() -> Column:
     )
 
 
-def rake(cells: DataFrame, names: list[str], targets: dict[str, list[float]]) -> DataFrame:
+def rake(
+    cells: DataFrame, names: list[str], targets: dict[str, list[float]], even: tuple[str, ...] = ()
+) -> DataFrame:
     """Factors per margin value so that the cells' weighted tokens meet all targets.
 
     ``cells`` has the index of each margin's value and the tokens. All cells are one array,
     bounded by the product of the margins' values. A step fits one margin: a value's factor is
     its target over the tokens of its cells weighted with the other margins' factors. A value
     whose cells have no tokens gets the mean factor, unless its target is 0 and it is listed
-    (the last value of a margin never is).
+    (the last value of a margin never is, nor are those of the margins ``even``).
     """
     row = cells.agg(F.array_sort(F.collect_list(F.struct(*names, "tokens"))).alias("cells"))
     start = F.struct(*[F.array(*[F.lit(1.0)] * len(targets[n])).alias(n) for n in names])
@@ -47,7 +48,7 @@ def rake(cells: DataFrame, names: list[str], targets: dict[str, list[float]]) ->
 
         def factor(target, k):
             mass = F.aggregate(F.filter("cells", lambda c: c[name] == k), F.lit(0.0), weighted)
-            free = (target > 0) | (k == len(targets[name]) - 1)
+            free = (target > 0) | (k == len(targets[name]) - 1) | F.lit(name in even)
             every = F.aggregate("cells", F.lit(0.0), weighted)
             mean = F.when(every > 0, 1 / every).otherwise(1.0)
             return F.when(mass > 0, target / mass).when(free, mean).otherwise(F.lit(0.0))
@@ -105,8 +106,8 @@ def mix(
     drawn if a hash of its id is below the probability: the draw is repeatable, and rows that
     repeat an id share it.
 
-    Nulls and values without a target (with a temperature: of less than LEAST_SHARE of the
-    tokens) count as one value. Texts that are null or empty have no tokens but are drawn like
+    Nulls and values without a target (with a temperature: all but the MOST_VALUES largest)
+    are raked as one value but keep their names; null is named OTHER. Texts that are null or empty have no tokens but are drawn like
     their cell, a value without any tokens at the mean rate. Null ids
     share one draw; an empty table gives no rows; other columns are ignored.
 
@@ -128,21 +129,19 @@ def mix(
     for n in names:
         wanted = margins[n]
         shares = rows.groupBy(n).agg(F.sum("tokens").alias("t")).filter(F.col(n).isNotNull())
-        large = {
-            r[n]: r["t"] / max(1, total)
-            for r in shares.filter(
-                F.col(n).isin(list(wanted))
-                if isinstance(wanted, dict)
-                else F.col("t") >= LEAST_SHARE * max(1, total)
-            ).collect()
-        }
+        if isinstance(wanted, dict):
+            shares = shares.filter(F.col(n).isin(list(wanted)))
+        else:
+            shares = shares.orderBy(F.desc("t"), n).limit(MOST_VALUES)
+        large = {r[n]: r["t"] / max(1, total) for r in shares.collect()}
         rest = max(0.0, 1 - sum(large.values()))
         values[n] = sorted(large)
         if isinstance(wanted, dict):
             goal = listed_and_rest([wanted[v] for v in values[n]], 1 - sum(wanted.values()), rest)
         else:
-            even = sum(x**wanted for x in large.values())
-            goal = [(1 - rest) * large[v] ** wanted / even for v in values[n]] + [rest if rest > 1e-12 else 0.0]
+            even = sum(x**wanted for x in large.values() if x) or 1.0
+            goal = [(1 - rest) * large[v] ** wanted / even if large[v] else 0.0 for v in values[n]]
+            goal.append(rest if rest > 1e-12 else 0.0)
         whole = sum(goal)
         targets[n] = [g / whole if whole else 1.0 for g in goal]
 
@@ -154,7 +153,7 @@ def mix(
     cells = marked.groupBy(*[F.col(f"_{n}").alias(n) for n in names]).agg(
         F.sum("tokens").cast("double").alias("tokens")
     )
-    weights = rake(cells, names, targets)
+    weights = rake(cells, names, targets, tuple(n for n in names if not isinstance(margins[n], dict)))
     weights = materialize(
         weights.withColumn("largest", F.max("weight").over(Window.partitionBy(F.lit(0)))).select(
             *[F.col(n).alias(f"_{n}") for n in names],
@@ -166,7 +165,7 @@ def mix(
         "doc_id",
         "tokens",
         *[
-            F.coalesce(F.get(F.array(*[F.lit(v) for v in values[n]]).cast("array<string>"), F.col(f"_{n}")), F.lit(OTHER)).alias(n)
+            F.coalesce(F.col(n), F.lit(OTHER)).alias(n)
             for n in names
         ],
         F.round("probability", 6).alias("probability"),
