@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -21,9 +22,13 @@ BLOCK = frozenset(
 )
 #: Elements that never hold main text.
 OUTSIDE = frozenset(
-    "head script style noscript template nav footer aside form button select option textarea iframe "
+    "head script style noscript template button select option textarea iframe "
     "object embed svg math canvas audio video map dialog menu input label".split()
 )
+#: Elements around the main text, unless the article is in them (an author left them open, say).
+AROUND = frozenset("nav footer aside form".split())
+#: What may stand in a head; any other element ends it.
+IN_HEAD = frozenset("title base basefont bgsound link meta style script noscript template".split())
 #: Elements that a start tag of the same group closes, and what bounds the search.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -43,18 +48,23 @@ MARKS = re.compile(
     r"search\w*|complementary|contentinfo|alert\w*|disclaimer|copyright|skip\w*|tags?|legal)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Those of them that mark what readers wrote: however long, it is no main text.
+COMMENTS = re.compile(
+    r"(?:^|[\s_-])(?:comments?|comment-?list|disqus|replies|respond)(?:$|[\s_-])", re.IGNORECASE
+)
 SPACE = re.compile(r"\s+")
 
 
 class Node:
     __slots__ = (
         "tag", "parent", "children", "outside", "link", "chars", "tags", "link_chars", "link_tags",
-        "density", "total", "marked", "plain", "holds",
+        "density", "total", "marked", "plain", "cores", "title", "loose",
     )
 
     def __init__(self, tag: str, parent: Node | None, outside: bool):
         self.tag, self.parent, self.outside = tag, parent, outside
-        self.marked = False
+        #: None, or why the node may be left out: "around", "name" or "comments".
+        self.marked: str | None = None
         self.link = tag == "a" or (parent is not None and parent.link)
         self.children: list[Node | str] = []
 
@@ -65,11 +75,19 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.here = Node("#root", None, False)
-        self.depth = 0
+        self.opened: Counter[str] = Counter()
+
+    def _up(self, node: Node) -> None:
+        """Close elements until ``node`` is the innermost open one."""
+        while self.here is not node:
+            self.opened[self.here.tag] -= 1
+            self.here = self.here.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and self._open(tag):
+        if tag in ("html", "body") and self.opened[tag]:
             return
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCK:
             self._close_until("p", {"table", "td", "th", "button", "article", "section", "div", "li"})
         if tag in CLOSES:
@@ -77,57 +95,65 @@ class Tree(HTMLParser):
             node = self.here
             while node.parent is not None and node.tag not in bounds:
                 if node.tag in names:
-                    self.here = node.parent
+                    self._up(node.parent)
                 node = node.parent
         outside = self.here.outside or tag in OUTSIDE or _hidden(tag, attrs)
-        if tag == "header" and not self._open("article") and not self._open("main"):
-            outside = True
         node = Node(tag, self.here, outside)
         node.marked = _marked(tag, attrs)
+        if tag in AROUND or (tag == "header" and not self.opened["article"] and not self.opened["main"]):
+            node.marked = "around"
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
+            self.opened[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in VOID:
+        if tag in VOID or not self.opened[tag]:
             return
         node = self.here
         while node.parent is not None:
             if node.tag == tag:
-                self.here = node.parent
+                self._up(node.parent)
                 return
             if node.tag in ("td", "th", "article", "section", "body") and tag not in BLOCK:
                 return
             node = node.parent
 
     def handle_data(self, data):
+        if self.here.tag == "head" and not data.isspace():
+            self._end_head()
         if not self.here.outside:
             self.here.children.append(data)
 
-    def _open(self, tag) -> bool:
-        node = self.here
-        while node is not None:
-            if node.tag == tag:
-                return True
-            node = node.parent
-        return False
+    def _end_head(self) -> None:
+        """The end tag of a head may be left out."""
+        if self.opened["head"]:
+            node = self.here
+            while node.tag != "head":
+                node = node.parent
+            self._up(node.parent)
 
     def _close_until(self, tag, bounds):
+        if not self.opened[tag]:
+            return
         node = self.here
         while node.parent is not None and node.tag not in bounds:
             if node.tag == tag:
-                self.here = node.parent
+                self._up(node.parent)
                 return
             node = node.parent
 
 
-def _marked(tag: str, attrs) -> bool:
-    if tag in ("html", "body", "article", "main"):
-        return False
-    return any(name in ("class", "id", "role") and value and MARKS.search(value) for name, value in attrs)
+def _marked(tag: str, attrs) -> str | None:
+    if tag in ("html", "body", "main"):
+        return None
+    values = [value for name, value in attrs if name in ("class", "id", "role") and value]
+    if any(COMMENTS.search(v) for v in values):
+        return "comments"
+    return "name" if tag != "article" and any(MARKS.search(v) for v in values) else None
 
 
 def _hidden(tag: str, attrs) -> bool:
@@ -151,19 +177,39 @@ def _post_order(root: Node) -> list[Node]:
 
 
 def leave_out(root: Node) -> None:
-    """Marked subtrees are outside, unless they hold an article or most of the page's text.
-
-    An article shows by its element, by main or h1; text inside links does not count.
+    """Marked subtrees are outside, unless the article is in them.
+
+    The article shows by its elements, ``article`` or ``main`` outside of comments: a marked
+    subtree stays if it holds all of them, and goes if some are elsewhere. On a page without
+    them it stays if it holds most of the text that is not in links; a form or nav only then,
+    as it may be left open. What is marked as comments goes, however long, unless it is the
+    wrapper of the article: it holds the first heading, marked comments of its own, or almost
+    all text of the page.
     """
     order = _post_order(root)
     for n in order:
         kids = [c for c in n.children if isinstance(c, Node) and not c.outside]
         own = 0 if n.link else sum(len(SPACE.sub(" ", c).strip()) for c in n.children if isinstance(c, str))
         n.plain = own + sum(k.plain for k in kids)
-        n.holds = n.tag in ("article", "main", "h1") or any(k.holds for k in kids)
+        # Text that is in no marked subtree.
+        n.loose = 0 if n.marked else own + sum(k.loose for k in kids)
+        n.title = n.tag == "h1" or any(k.title for k in kids)
+        n.cores = sum(k.cores for k in kids) + (n.tag in ("article", "main") and not n.marked)
+        if n.marked == "comments":
+            inner = any(k.marked == "comments" for k in _post_order(n)[:-1])
+            if not n.title and not inner:
+                n.cores = 0
     for n in order:
-        if n.marked and not n.holds and 2 * n.plain <= root.plain:
+        if not n.marked or n is root:
+            continue
+        if n.cores:
+            n.outside = n.cores < root.cores
+        elif root.cores or (n.marked == "around" and n.tag not in ("nav", "form")):
             n.outside = True
+        elif n.marked == "comments":
+            n.outside = 2 * n.plain <= root.plain or root.loose > 0 and not n.title
+        else:
+            n.outside = 2 * n.plain <= root.plain
 
 
 def measure(root: Node) -> list[Node]:

@@ -33,11 +33,53 @@ def test_wrappers_named_like_marks_keep_the_article():
         assert main_text.main_text(page.format(inner)) == whole
 
 
+def test_tags_that_authors_leave_out():
+    body = "<article><h1>Title</h1><p>A paragraph of the article, with words.</p></article>"
+    want = "Title\nA paragraph of the article, with words."
+    for page in (
+        f"<html><head><title>x</title><body>{body}",
+        f"<html><head><title>x</title>{body}",
+        f"<html><body><form action=x>{body}<input name=a></form></body></html>",
+        f"<html><body><nav><a href=x>Menu</a> {body}",
+        f"<html><body><header><a href=x>Menu</a>{body}</header>",
+    ):
+        assert main_text.main_text(page) == want, page
+    plain = "<div><p>A paragraph of plain text, with many words in it.</p><p>And one more of these.</p></div>"
+    for page in (f"<head><title>x</title>{plain}", f"<form>{plain}</form>", f"<nav><a href=x>Menu</a>{plain}"):
+        assert main_text.main_text(f"<html>{page}").endswith("And one more of these."), page
+
+
+def test_comments_go_however_long():
+    chat = "<p>I have a very long opinion about all of this and write it down here.</p>" * 20
+    want = "Title\nA short article."
+    head = "<h1>Title</h1><p>A short article.</p>"
+    for page in (
+        f"<article>{head}</article><div class=comments>{chat}</div>",
+        f"<article>{head}</article><section id=comments><article>{chat}</article><article>{chat}</article></section>",
+        f"<main>{head}</main><ol class='comment-list'><li>{chat}</li></ol>",
+        f"<div class=has-comments><article>{head}</article><div class=comments>{chat}</div></div>",
+        f"<article>{head}<section class=comments>{chat}</section></article>",
+    ):
+        assert main_text.main_text(f"<html><body>{page}</body></html>") == want, page
+    assert "opinion" not in main_text.main_text(f"<body><div>{head}</div><div class=comments>{chat}</div>")
+    side = f"<div class=sidebar><h1>Site</h1>{chat}</div>"
+    assert main_text.main_text(f"<body>{side}<article>{head}</article>") == want
+
+
+def test_unmatched_end_tags_are_cheap():
+    import time
+
+    page = "<span>" * 4000 + "text" + "</b>" * 8000
+    started = time.perf_counter()
+    assert main_text.main_text(page) == "text"
+    assert time.perf_counter() - started < 2
+
+
 def test_extract_keeps_all_rows(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = main_text.extract(df).collect()
-    assert sorted(r.n_chars for r in got) == [0, 68, 68] and len(got[0].text) == got[0].n_chars
+    assert sorted(r.n_chars for r in got) == [0, 64, 64] and len(got[0].text) == got[0].n_chars
     assert main_text.extract(df.limit(0)).count() == 0
 
 
