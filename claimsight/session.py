@@ -84,3 +84,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class WorkTables:
+    """Intermediate tables of one operator, removed together when they are no longer read."""
+
+    def __init__(self):
+        self.held: list[tuple[SparkSession, str]] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        """The frame as a table in the work folder, like :func:`materialize`."""
+        path = work_path(df.sparkSession, name)
+        self.held.append((df.sparkSession, path))
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+
+    def remove(self) -> None:
+        """Remove all tables so far; frames that read them can no longer be used."""
+        for spark, path in self.held:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.held.clear()
