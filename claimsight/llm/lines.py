@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsight.session import materialize
+from claimsight.session import WorkTables, materialize
 
 #: Characters that a line needs to be compared with others, and edits between near copies:
 #: one for each CHARS_AN_EDIT characters of the shorter line, at least one, MAX_EDITS at most.
@@ -145,7 +145,66 @@ def within(a: Column, b: Column, edits: int | Column) -> Column:
     )
 
 
-def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFrame]:
+def parities(chars: Column) -> list[Column]:
+    """Two 64-bit signatures of an array of characters.
+
+    A bit is the parity of the characters, or of the pairs of neighbours, that hash to it. An
+    edit changes at most 2 bits of the first and 4 of the second.
+    """
+    zero = F.lit(0).cast("long")
+
+    def folded(items: Column) -> Column:
+        def flip(bits, x):
+            return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(x), F.lit(64))))
+
+        return F.aggregate(items, zero, flip)
+
+    return [folded(chars), folded(F.transform(chars, lambda x, i: F.concat(x, F.coalesce(F.get(chars, i + 1), F.lit("")))))]
+
+
+def may_be_within(edits: Column) -> Column:
+    """False only for pairs (na, sa, ta, nb, sb, tb: length and signatures) beyond the edits."""
+    near = F.abs(F.col("na") - F.col("nb")) <= edits
+    for a, b, bits in (("sa", "sb", 2), ("ta", "tb", 4)):
+        near = near & (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits * edits)
+    return near
+
+
+def common_prefix(a: Column, b: Column) -> Column:
+    """Number of equal characters at the start of two strings, by halving steps."""
+    least = F.least(F.char_length(a), F.char_length(b))
+    powers = F.transform(F.sequence(F.lit(30), F.lit(0), F.lit(-1)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+
+    def further(done, step):
+        same = (done + step <= least) & (a.substr(done + 1, step) == b.substr(done + 1, step))
+        return F.when(same, done + step).otherwise(done)
+
+    return F.aggregate(F.filter(powers, lambda p: p <= least), F.lit(0), further)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def differing(a: Column, b: Column) -> Column:
+    """Both strings, as a struct, without the start and the end that they share.
+
+    Their edit distance stays as it is.
+    """
+
+    def without_start(x):
+        def cut(p):
+            return F.struct(
+                *[F.reverse(x[c].substr(p + 1, F.char_length(x[c]))).alias(c) for c in ("a", "b")]
+            )
+
+        return bound(common_prefix(x["a"], x["b"]), cut)
+
+    return bound(bound(F.struct(a.alias("a"), b.alias("b")), without_start), without_start)
+
+
+def near_pairs(texts: DataFrame, wanted, edits: int, work: WorkTables) -> tuple[DataFrame, DataFrame]:
     """Pairs of ids of different texts that share a segment: all pairs within the edits, and more.
 
     ``texts`` has (id, line), repeated freely; ``wanted(ids)`` gives one row (id, line) for
@@ -162,9 +221,11 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
         F.col("line").alias("rest"),
     )
     rows = keyed(first, edits)
-    rows = materialize(rows.join(materialize(shared(rows), "line-keys"), "key").distinct(), "line-rows")
-    known = materialize(wanted(rows.select("id").distinct()), "line-texts")
-    work = known.select(F.col("id").alias("name"), F.col("line").alias("rest"))
+    keys = work(shared(rows), "line-keys")
+    # Most keys are no one else's: the bits hold these back before the rows are shuffled.
+    rows = work(rows.filter(may_be_among(keys, "key")).join(keys, "key").distinct(), "line-rows")
+    known = work(wanted(rows.select("id").distinct()), "line-texts")
+    todo = known.select(F.col("id").alias("name"), F.col("line").alias("rest"))
     each = F.array(*[F.lit(len(probes(e))) for e in range(1, edits + 1)])
     found = None
     for level in range(SPLITS + 1):
@@ -175,7 +236,7 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
         )
         pairs = F.col("indexed") * F.col("rows")
         large = (pairs > HOT_PAIRS) & (F.col("indexed") > F.get(each, F.col("edits") - 1))
-        load = materialize(load.select("key", "rows", pairs.alias("pairs"), large.alias("large")), "line-load")
+        load = work(load.select("key", "rows", pairs.alias("pairs"), large.alias("large")), "line-load")
         hot = load.filter("large")
         many = hot.agg(F.sum("pairs")).first()[0] or 0
         split = level < SPLITS and many > (load.agg(F.sum("rows")).first()[0] or 0)
@@ -188,23 +249,23 @@ def near_pairs(texts: DataFrame, wanted, edits: int) -> tuple[DataFrame, DataFra
         found = pairs if found is None else found.unionByName(pairs)
         if not split:
             break
-        again = rows.join(load.filter("hot").select("key"), "key").join(work.select("name", "rest"), "name")
+        again = rows.join(load.filter("hot").select("key"), "key").join(todo.select("name", "rest"), "name")
         rest = F.concat(
             F.col("rest").substr(F.lit(1), F.col("at")),
             F.col("rest").substr(F.col("at") + F.col("width") + 1, F.char_length("rest")),
         )
         again = again.select("id", F.col("key").alias("context"), "edits", rest.alias("rest")).distinct()
-        work = materialize(again.withColumn("name", F.xxhash64("id", "context", "rest")), "line-rests")
-        deeper = keyed(work, edits)
-        rows = materialize(deeper.join(shared(deeper), "key").distinct(), "line-rows")
-    return materialize(found.distinct(), "line-pairs"), known
+        todo = work(again.withColumn("name", F.xxhash64("id", "context", "rest")), "line-rests")
+        deeper = keyed(todo, edits)
+        rows = work(deeper.join(shared(deeper), "key").distinct(), "line-rows")
+    return work(found.distinct(), "line-pairs"), known
 
 
-def may_be_among(ids: DataFrame) -> Column:
-    """Whether the column ``id`` may be among the ids: one bit per slot, never wrongly no."""
-    slot = F.pmod("id", F.lit(SLOTS))
+def may_be_among(ids: DataFrame, name: str = "id") -> Column:
+    """Whether the column may be among the values: one bit per slot, never wrongly no."""
+    slot = F.pmod(name, F.lit(SLOTS))
     word = F.shiftright(slot, 6).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("id", F.lit(64)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(name, F.lit(64)).cast("int"))
     filled = ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     words = ids.sparkSession.range(SLOTS >> 6).select(F.col("id").cast("int").alias("word"))
     pair = F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
@@ -236,14 +297,18 @@ def dedup(
     Adds n_lines, n_exact, n_near (lines removed) and replaces ``text``.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.drop("n_lines", "n_exact", "n_near").withColumn("_th", F.xxhash64(body))
+    docs = docs.drop("n_lines", "n_exact", "n_near")
+    # Columns of the caller may have any names: they wait in a struct while others are added.
+    docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key), F.col(text))
+    docs = docs.withColumn("_th", F.xxhash64(body))
     lines = (
         docs.select(F.col(key).alias("_id"), "_th", F.posexplode(F.split(body, "\n")).alias("pos", "line"))
         .filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
         .withColumns({"id": F.xxhash64("line"), "id2": F.xxhash64(F.lit(1), "line")})
     )
     place = F.struct("_id", "pos", "_th")
-    firsts = materialize(
+    work = WorkTables()
+    firsts = work(
         lines.groupBy("id", "id2").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "line-firsts"
     )
     long = lines.filter(F.char_length("line") >= least_chars).select("id", "line", place.alias("first"))
@@ -256,16 +321,28 @@ def dedup(
             .agg(F.min("first").alias("first"), F.min("line").alias("line"))
         )
 
-    pairs, known = near_pairs(long.select("id", "line"), wanted, edits)
-    chars = known.select("id", "first", F.split("line", "").alias("c"))
-    a = chars.select(F.col("id").alias("a"), F.col("first").alias("fa"), F.col("c").alias("ca"))
-    b = chars.select(F.col("id").alias("b"), F.col("first").alias("fb"), F.col("c").alias("cb"))
-    linked = pairs.join(a, "a").join(b, "b").withColumn(
-        "edits", edits_of(F.least(F.size("ca"), F.size("cb")), edits)
+    pairs, known = near_pairs(long.select("id", "line"), wanted, edits, work)
+    chars = F.split("line", "")
+    known = work(
+        known.select("id", "first", "line", F.char_length("line").alias("n"), *[p.alias(f"p{i}") for i, p in enumerate(parities(chars))]),
+        "line-signs",
+    )
+    signs = [known.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("p0").alias(f"s{s}"), F.col("p1").alias(f"t{s}")) for s in "ab"]
+    apart = edits_of(F.least("na", "nb"), edits)
+    likely = pairs.join(signs[0], "a").join(signs[1], "b").filter(may_be_within(apart))
+    likely = work(likely.select("a", "b", apart.alias("edits")), "line-likely")
+    for s in "ab":
+        text_of = known.select(F.col("id").alias(s), F.col("first").alias(f"f{s}"), F.col("line").alias(f"l{s}"))
+        likely = likely.join(text_of, s)
+    rests = likely.select(
+        F.col("a").alias("ia"), F.col("b").alias("ib"), "fa", "fb", "edits", differing(F.col("la"), F.col("lb")).alias("x")
     )
-    linked = linked.filter(within(F.col("ca"), F.col("cb"), F.col("edits")))
-    later = materialize(
-        linked.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("id"))
+    letters = [F.when(F.col(f"x.{s}") == "", F.array().cast("array<string>")).otherwise(F.split(f"x.{s}", "")).alias(s) for s in "ab"]
+    # Stored, or the band would take the strings apart anew for every letter that it looks at.
+    linked = work(rests.select("ia", "ib", "fa", "fb", "edits", *letters), "line-rests")
+    linked = linked.filter(within(F.col("a"), F.col("b"), F.col("edits")))
+    later = work(
+        linked.select(F.when(F.col("fa") < F.col("fb"), F.col("ib")).otherwise(F.col("ia")).alias("id"))
         .distinct()
         .withColumn("near", F.lit(True)),
         "line-near",
@@ -276,7 +353,7 @@ def dedup(
     repeated = firsts.filter("copies > 1").select("id", "id2", "first")
     marked = (
         lines.select("_id", "_th", "pos", "id", "id2")
-        .join(materialize(repeated, "line-repeated"), ["id", "id2"], "left")
+        .join(work(repeated, "line-repeated"), ["id", "id2"], "left")
         .join(later, "id", "left")
         .withColumn("first", F.coalesce("first", place))
         .select("_id", "_th", "pos", status.alias("status"))
@@ -287,6 +364,7 @@ def dedup(
         .agg(F.collect_set(F.struct("pos", "status")).alias("gone")),
         "line-gone",
     )
+    work.remove()
     out = docs.join(gone, F.col(key).eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")), "left")
     out = out.withColumns(
         {
@@ -300,11 +378,18 @@ def dedup(
     def number(kind: int) -> Column:
         return F.coalesce(F.size(F.filter("gone", lambda x: x["status"] == kind)), F.lit(0)).cast("long")
 
-    return out.withColumns(
+    out = out.withColumns(
         {
             "n_lines": counted,
             "n_exact": F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(number(EXACT)),
             "n_near": F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(number(NEAR)),
-            text: F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept),
+            "_text": F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept),
         }
-    ).drop("_th", "_gid", "_gth", "gone", "_lines", "_at")
+    )
+    names = docs.schema["_row"].dataType.names
+    return out.select(
+        *[F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in names],
+        "n_lines",
+        "n_exact",
+        "n_near",
+    )
