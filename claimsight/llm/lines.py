@@ -145,29 +145,19 @@ def within(a: Column, b: Column, edits: int | Column) -> Column:
     )
 
 
-def parities(chars: Column) -> list[Column]:
-    """Two 64-bit signatures of an array of characters.
-
-    A bit is the parity of the characters, or of the pairs of neighbours, that hash to it. An
-    edit changes at most 2 bits of the first and 4 of the second.
-    """
-    zero = F.lit(0).cast("long")
-
-    def folded(items: Column) -> Column:
-        def flip(bits, x):
-            return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(x), F.lit(64))))
-
-        return F.aggregate(items, zero, flip)
-
-    return [folded(chars), folded(F.transform(chars, lambda x, i: F.concat(x, F.coalesce(F.get(chars, i + 1), F.lit("")))))]
+def letter_counts(line: Column) -> Column:
+    """How often each of the letters a to z occurs. An edit changes the counts by 2 at most."""
+    return F.array(
+        *[(F.char_length(line) - F.char_length(F.translate(line, c, ""))) for c in "abcdefghijklmnopqrstuvwxyz"]
+    )
 
 
 def may_be_within(edits: Column) -> Column:
-    """False only for pairs (na, sa, ta, nb, sb, tb: length and signatures) beyond the edits."""
-    near = F.abs(F.col("na") - F.col("nb")) <= edits
-    for a, b, bits in (("sa", "sb", 2), ("ta", "tb", 4)):
-        near = near & (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits * edits)
-    return near
+    """False only for pairs (na, sa, nb, sb: length and letter counts) beyond the edits."""
+    changes = F.aggregate(
+        F.zip_with("sa", "sb", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x
+    )
+    return F.when(F.abs(F.col("na") - F.col("nb")) <= edits, changes <= 2 * edits).otherwise(False)
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -322,12 +312,11 @@ def dedup(
         )
 
     pairs, known = near_pairs(long.select("id", "line"), wanted, edits, work)
-    chars = F.split("line", "")
     known = work(
-        known.select("id", "first", "line", F.char_length("line").alias("n"), *[p.alias(f"p{i}") for i, p in enumerate(parities(chars))]),
+        known.select("id", "first", "line", F.char_length("line").alias("n"), letter_counts(F.col("line")).alias("counts")),
         "line-signs",
     )
-    signs = [known.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("p0").alias(f"s{s}"), F.col("p1").alias(f"t{s}")) for s in "ab"]
+    signs = [known.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("counts").alias(f"s{s}")) for s in "ab"]
     apart = edits_of(F.least("na", "nb"), edits)
     likely = pairs.join(signs[0], "a").join(signs[1], "b").filter(may_be_within(apart))
     likely = work(likely.select("a", "b", apart.alias("edits")), "line-likely")
