@@ -101,18 +101,19 @@ class WordIds:
         """Ids of all texts end to end, ``end_id`` after each, and where each text starts."""
         codes, starts, words = split_words(mapped(texts, byte_table(lower=False)))
         flat, first, size = self._of_words(words.to_pylist())
+        # The end is one more word, at the end of every text.
+        codes = np.insert(codes, starts[1:], len(size))
+        starts = starts + np.arange(len(starts))
+        flat = np.append(flat, np.uint32(end_id))
+        first, size = np.append(first, len(flat) - 1), np.append(size, 1)
         length = size[codes]
         tokens = sums(length, starts)
         total = int(tokens.sum())
-        at = np.repeat(first[codes] - (np.cumsum(length) - length), length)
-        at += np.arange(total)
-        out = np.empty(total + len(tokens), np.uint32)
-        bounds = np.concatenate([[0], np.cumsum(tokens + 1)])
-        inside = np.ones(len(out), bool)
-        inside[bounds[1:] - 1] = False
-        out[inside] = flat[at]
-        out[~inside] = end_id
-        return out, bounds
+        kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+        shift = first.astype(kind)[codes] - (np.cumsum(length, dtype=kind) - length.astype(kind))
+        at = np.repeat(shift, length)
+        at += np.arange(total, dtype=kind)
+        return flat[at], np.concatenate([[0], np.cumsum(tokens)])
 
 
 def encoder(path: str) -> WordIds:
