@@ -107,7 +107,7 @@ def mix(
     repeat an id share it.
 
     Nulls and values without a target (with a temperature: all but the MOST_VALUES largest)
-    are raked as one value but keep their names; null is named OTHER. Texts that are null or empty have no tokens but are drawn like
+    are raked as one value. Null and values that fixed shares do not list are named OTHER. Texts that are null or empty have no tokens but are drawn like
     their cell, a value without any tokens at the mean rate. Null ids
     share one draw; an empty table gives no rows; other columns are ignored.
 
@@ -165,7 +165,7 @@ def mix(
         "doc_id",
         "tokens",
         *[
-            F.coalesce(F.col(n), F.lit(OTHER)).alias(n)
+            F.coalesce(F.when(F.lit(not isinstance(margins[n], dict)) | F.col(n).isin(values[n]), F.col(n)), F.lit(OTHER)).alias(n)
             for n in names
         ],
         F.round("probability", 6).alias("probability"),
