@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimsight.llm import jaccard, langid, lines, mixing, rules
@@ -85,14 +86,14 @@ def test_language_of_held_out_documents(spark, sf, odd_docs, no_docs):
     assert langid.identify(no_docs).count() == 0
 
 
-def test_jaccard_components_equal_brute_force(spark, sf, odd_docs, no_docs):
+def _jaccard_by_pairs(docs):
+    """Set size and component of each id, all pairs compared."""
     low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
     def shingles(text):
         w = [x.translate(low) for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
         return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
     sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
     group = {i: i for i in sets}
     ids = sorted(sets)
@@ -103,10 +104,45 @@ def test_jaccard_components_equal_brute_force(spark, sf, odd_docs, no_docs):
             if a and b and 100 * c >= 75 * (len(a) + len(b) - c) and group[i] != group[j]:
                 old, new = max(group[i], group[j]), min(group[i], group[j])
                 group = {k: new if v == old else v for k, v in group.items()}
-    got = jaccard.near_groups(docs).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {
-        i: (len(sets[i]), group[i]) for i in sets
-    }
+    return {i: (len(sets[i]), group[i]) for i in sets}
+
+
+def _groups(docs):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_groups(docs).collect()}
+
+
+def _clouds(spark):
+    """Texts around three origins, some near each other and some not, and texts with one passage."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(40)]
+    rows = []
+    for origin in range(3):
+        base = [word() for _ in range(120)]
+        for _ in range(30):
+            text = list(base)
+            for _ in range(rng.randrange(1, 7)):
+                text[rng.randrange(len(text))] = word()
+            rows.append(" ".join(text[rng.randrange(12) :]))
+    rows += [" ".join([word() for _ in range(rng.randrange(0, 16))] + passage) for _ in range(40)]
+    rng.shuffle(rows)
+    return spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+
+
+@pytest.mark.parametrize("levels, block", [(2, 600), (0, 600), (0, 1 << 18)])
+def test_jaccard_cells_and_blocks_equal_brute_force(spark, monkeypatch, levels, block):
+    monkeypatch.setattr(jaccard, "LARGE", 4)
+    monkeypatch.setattr(jaccard, "LEVELS", levels)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    docs = _clouds(spark)
+    wanted = _jaccard_by_pairs(docs)
+    assert 10 < len({c for _, c in wanted.values()}) < 120
+    assert _groups(docs) == wanted
+
+
+def test_jaccard_components_equal_brute_force(spark, sf, odd_docs, no_docs):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert _groups(docs) == _jaccard_by_pairs(docs)
     odd = {r.doc_id: r for r in jaccard.near_groups(odd_docs).collect()}
     assert odd[9].component_id == 8 and odd[4].component_id == 4 and odd[3].n_shingles == 0
     assert jaccard.near_groups(no_docs).count() == 0
