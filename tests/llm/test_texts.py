@@ -134,6 +134,7 @@ def test_jaccard_cells_and_blocks_equal_brute_force(spark, monkeypatch, levels,
     monkeypatch.setattr(jaccard, "LARGE", 4)
     monkeypatch.setattr(jaccard, "LEVELS", levels)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "MEET", 20)
     docs = _clouds(spark)
     wanted = _jaccard_by_pairs(docs)
     assert 10 < len({c for _, c in wanted.values()}) < 120
