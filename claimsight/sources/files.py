@@ -6,13 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimsight.functions.addresses import address_digits, client_of
+
 
 def parse_json_logs(
-    df: DataFrame, schema: T.StructType, *, message: str = "message", at: str | None = None
+    df: DataFrame,
+    schema: T.StructType,
+    *,
+    message: str = "message",
+    at: str | None = None,
+    address: str | None = None,
+    agent: str | None = None,
 ) -> DataFrame:
     """Log lines with a JSON message as columns; unparseable lines are marked.
 
-    ``at`` names a time column that is normalised to UTC seconds.
+    ``at`` names a time column that is normalised to UTC seconds (``log_sec``), ``address`` a
+    field that gives 32 hex digits (``address_digits``) and ``agent`` one that gives
+    ``agent_family``, ``agent_major`` and ``agent_platform``.
     """
     fields = F.from_json(message, schema)
     out = df.withColumn("_log", fields)
@@ -21,7 +31,14 @@ def parse_json_logs(
         *[F.col(f"_log.{f.name}").alias(f.name) for f in schema.fields],
         F.try_parse_json(F.col(message)).isNotNull().alias("parsed"),
     )
-    return parsed.withColumn("log_sec", F.unix_seconds(at)) if at else parsed
+    if at:
+        parsed = parsed.withColumn("log_sec", F.unix_seconds(at))
+    if address:
+        parsed = parsed.withColumn("address_digits", address_digits(F.col(address)))
+    if agent:
+        client = client_of(F.col(agent))
+        parsed = parsed.withColumns({f"agent_{f}": client[f] for f in ("family", "major", "platform")})
+    return parsed
 
 
 # Segment names of a mapped claim file.

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimsight.functions import addresses
 from claimsight.functions.codes import (
     CARDIAC_DIAGNOSES,
     ORTHOPAEDIC_PROCEDURES,
@@ -633,6 +636,68 @@ def json_logs(spark, sf_dir):
         files.parse_json_logs(e, schema, at="at"), "event_id", "log_sec", "k", "parsed"
     )
 
+AGENTS = [
+    "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64; rv:121.0) Gecko/20100101 Firefox/121.0",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 17_1 like Mac OS X) AppleWebKit/605.1 (KHTML, like Gecko) Version/17.1 Mobile/15E148 Safari/604.1",
+    "curl/8.5.0",
+]
+
+
+def addressed_logs(spark, sf_dir):
+    """Events as log lines whose message holds an address, in six ways to write one, and an agent."""
+    e = table(spark, sf_dir, "events").withColumns(
+        {"u": F.expr("CAST(user_id % 256 AS INT)"), "e": F.expr("CAST(event_id % 256 AS INT)")}
+    )
+    last = F.format_string("10.%d.0.%d", "u", "e")
+    ways = [
+        last,
+        F.concat(last, F.lit(":443")),
+        F.format_string("fd00:%X::%x", "u", "e"),
+        F.format_string("[2001:db8::%x:%x]:8080", "u", "e"),
+        F.concat(F.lit("::ffff:"), last),
+        F.format_string("300.%d.0.%d", "u", "e"),
+    ]
+    client = F.get(F.array(*ways), F.expr("CAST(event_id % 6 AS INT)"))
+    agent = F.get(F.array(*map(F.lit, AGENTS)), F.expr("CAST(user_id % 5 AS INT)"))
+    message = F.to_json(F.struct(client.alias("client"), agent.alias("agent")))
+    return e.select("event_id", F.col("ts").cast("timestamp").alias("at"), message.alias("message"))
+
+
+@query(
+    "normalized_logs",
+    """WITH e AS (SELECT event_id, event_id % 6 AS way, user_id % 5 AS who, user_id % 256 AS u, event_id % 256 AS b,
+  CAST(floor(epoch(ts)) AS BIGINT) AS log_sec FROM events)
+SELECT event_id, log_sec,
+  CASE WHEN way IN (0, 1, 4) THEN repeat('0', 20) || printf('ffff0a%02x00%02x', u, b)
+       WHEN way = 2 THEN printf('fd00%04x', u) || repeat('0', 20) || printf('%04x', b)
+       WHEN way = 3 THEN '20010db8' || repeat('0', 16) || printf('%04x%04x', u, b) END AS address_digits,
+  CASE WHEN way IN (0, 1, 4) THEN coalesce(n_name, r_name) WHEN way = 2 THEN r_name WHEN way = 3 THEN 'EXAMPLE' END AS network,
+  CASE who WHEN 0 THEN 'chrome' WHEN 1 THEN 'firefox' WHEN 2 THEN 'safari' WHEN 3 THEN 'curl' END AS agent_family,
+  CAST(CASE who WHEN 0 THEN 120 WHEN 1 THEN 121 WHEN 2 THEN 17 WHEN 3 THEN 8 END AS BIGINT) AS agent_major,
+  CASE who WHEN 0 THEN 'linux' WHEN 1 THEN 'windows' WHEN 2 THEN 'ios' WHEN 3 THEN 'other' END AS agent_platform
+FROM e LEFT JOIN nation ON n_nationkey = u LEFT JOIN region ON r_regionkey = u // 16""",
+)
+def normalized_logs(spark, sf_dir):
+    """Log lines with normalised time, address and agent, and the network of the address.
+
+    A nation owns a /16 inside its part of a region's /12, so the smaller network must win.
+    """
+    schema = T.StructType([T.StructField("client", T.StringType()), T.StructField("agent", T.StringType())])
+    logs = files.parse_json_logs(addressed_logs(spark, sf_dir), schema, at="at", address="client", agent="agent")
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    block = F.expr("CAST(r_regionkey * 16 AS INT)")
+    owners = [
+        n.select(F.format_string("10.%d.0.0/16", F.col("n_nationkey").cast("int")).alias("cidr"), F.col("n_name").alias("network")),
+        r.select(F.format_string("10.%d.0.0/12", block).alias("cidr"), F.col("r_name").alias("network")),
+        r.select(F.format_string("fd00:%x::/28", block).alias("cidr"), F.col("r_name").alias("network")),
+        r.agg(F.lit("2001:db8::/32").alias("cidr"), F.lit("EXAMPLE").alias("network")),
+    ]
+    networks = reduce(DataFrame.unionByName, owners)
+    found = addresses.with_network(logs, "address_digits", networks, "cidr", ["network"])
+    columns = "event_id log_sec address_digits network agent_family agent_major agent_platform".split()
+    return result(found, *columns)
+
 
 @query(
     "map_segments",
