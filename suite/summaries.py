@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from claimsight.functions.codes import SCORING_BUCKETS
 from claimsight.operators import evaluation as ev
 from claimsight.operators import features as ft
+from claimsight.operators import forest as fo
 from claimsight.operators import graph as gr
 from claimsight.operators import reports as rp
 from claimsight.operators import scoring as sc
+from claimsight.operators.models import FEATURES
 from claimsight.session import materialize
 from claimsight.streaming.flows import sliding_profiles
 from suite.fixture import claims, result, table, with_claims
@@ -405,6 +407,16 @@ def amount_anomalies(spark, sf_dir):
     return result(df, "claim_id", "procedure_code", "amount_cents", "z_micro")
 
 
+@query("isolation_anomalies")
+def isolation_anomalies(spark, sf_dir):
+    """Claims that few random splits set apart, by all features of a claim (isolation forest)."""
+    columns = [c for c in FEATURES if c != "is_weekend"]
+    vectors = sc.model_inputs(sc.running_profiles(claims(spark, sf_dir)))
+    vectors = vectors.withColumn("amount", F.col("amount_cents") / 100).select("claim_id", *columns)
+    df = fo.isolation_anomalies(materialize(vectors, "vectors"), columns, ["claim_id"])
+    return result(df.filter("anomaly"), "claim_id", "isolation_micro")
+
+
 @query(
     "provider_risk_score",
     with_claims(
