@@ -22,7 +22,7 @@ from claimsight.streaming.progress import ProgressLog
 from suite.fixture import as_text_messages, claims, claims_from, result, table, with_claims
 from suite.profiles import STATE_SQL
 from suite.registry import SQL, query
-from suite.scores import RULES_SQL
+from suite.scores import RULES_SQL, SCORED_SQL
 from suite.summaries import TIMINGS_CTE, timings
 
 
@@ -418,3 +418,49 @@ def promoted_scores(spark, sf_dir):
     return result(
         md.predict(held_out, chosen), "claim_id", "fraud_probability", "model_version"
     )
+
+
+@query(
+    "held_out_scores",
+    with_claims(
+        SCORED_SQL
+        + """, labelled AS (SELECT claim_id, CASE WHEN points >= 8800 THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM tiered),
+placed AS (SELECT *, CAST('0x' || substr(md5(claim_id), 1, 8) AS BIGINT) AS pos FROM labelled),
+cuts AS (SELECT label, quantile_cont(pos, 0.8) AS cut FROM placed GROUP BY 1)
+SELECT claim_id, label, 'gbt-v1' AS model_version, 'gbt-v1' AS kept_version, 1::BIGINT AS same_after_loading, 1::BIGINT AS tier_fits
+FROM placed JOIN cuts USING (label) WHERE pos > cut"""
+    ),
+)
+def held_out_scores(spark, sf_dir):
+    """A classifier with its usual settings is saved, promoted, loaded and scores.
+
+    The champion has learned labels drawn by hash, so the classifier must replace it, and must
+    not be replaced by it. (A single tree on the right labels is no champion to beat: it ranks
+    these claims as well.) Every held-out claim must get the same probability before and after
+    loading, four decimals within 0 and 1, and the tier of that probability.
+    """
+    rows = training_rows(spark, sf_dir)
+    fit, held_out = rows.filter("is_train"), rows.filter("NOT is_train")
+    path = work_path(spark, "classifier")
+    fresh = md.load_or_train(path, fit)
+    drawn = F.pmod(F.xxhash64("claim_id"), F.lit(2)).cast("double")
+    champion = md.train(fit.withColumn("label", drawn), trees=1, version="gbt-drawn")
+    chosen, _ = md.promote(champion, fresh, held_out)
+    kept, _ = md.promote(fresh, champion, held_out)
+    loaded = md.load_or_train(path, fit)
+    before = md.predict(held_out, chosen).withColumnRenamed("fraud_probability", "before").drop("model_version")
+    both = md.with_probability_tier(md.predict(before, loaded))
+    p = F.col("fraud_probability")
+    # Lower bounds of the tiers, written out: the result must not depend on the tested function.
+    tier = F.when(p >= 0.9, "CRITICAL").when(p >= 0.7, "HIGH").when(p >= 0.4, "MEDIUM").otherwise("LOW")
+    fits = (F.col("model_risk_level") == tier) & p.between(0, 1) & (F.round(p, 4) == p)
+    return result(
+        both.select(
+            "claim_id",
+            "label",
+            F.lit(chosen.version).alias("model_version"),
+            F.lit(kept.version).alias("kept_version"),
+            (p == F.col("before")).alias("same_after_loading"),
+            fits.alias("tier_fits"),
+        )
+    )
