@@ -22,6 +22,7 @@ from claimsight.operators.timeline import (
     rolling_frame,
     with_second,
 )
+from claimsight.session import materialize
 
 
 def _timed(df: DataFrame, at: str) -> DataFrame:
@@ -273,7 +274,11 @@ def claim_features(
 
 
 def claim_features_at_time(claims: DataFrame) -> DataFrame:
-    """Each claim with the profiles as they stood at its own time."""
+    """Each claim with the profiles as they stood at its own time.
+
+    The claims are stored once, and both profiles are taken from them.
+    """
+    claims = materialize(claims, "timed-claims")
     p = rolling_frame(
         claims, ["provider_npi_token"], 30, kind="procedure_code"
     ).withColumnsRenamed(
@@ -285,6 +290,7 @@ def claim_features_at_time(claims: DataFrame) -> DataFrame:
         90,
         kind="provider_npi_token",
         spread=False,
+        source=claims,
     )
     named = both.select(
         *claims.columns,

@@ -217,3 +217,61 @@ def test_hot_key_windows_are_cut_by_time(spark, claims):
     )
     for line in (l for l in text.splitlines() if " Window [" in l):
         assert "_hour" in line or "_slot" in line, line
+
+
+@pytest.mark.parametrize("light", [0, 20, 4096])
+def test_frames_of_light_and_large_keys_agree(spark, light):
+    rows = random_rows(21) + [(None, 5, 1, "p", 900), ("a", None, 2, "q", 901), ("b", 7, None, None, 902)]
+    df = make(spark, rows)
+    plain = rolling_frame(df, ["k"], 30, kind="kind", light=0)
+    got = rolling_frame(df, ["k"], 30, kind="kind", light=light)
+    assert got.schema == plain.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    by_id = {r.id: r for r in got.collect()}
+    assert by_id[900].n is None and by_id[901].n is None
+    frame = [r for r in rows if r[0] == "b" and r[1] is not None and 7 - 30 * DAY <= r[1] <= 7]
+    assert by_id[902].n == len(frame)
+    assert by_id[902].total_cents == sum(r[2] or 0 for r in frame)
+
+
+def stored(spark, name):
+    """Folders of the work folder with this name."""
+    import glob
+
+    from claimsight.session import work_root
+
+    return glob.glob(f"{work_root(spark).replace('file:', '')}/{name}-*")
+
+
+def test_features_at_time_store_the_claims_once(spark, claims):
+    """The second profile is not taken from rows that carry the first, worked out anew."""
+    from suite.fixture import tokenized
+
+    before = len(stored(spark, "timed-claims"))
+    plan = ft.claim_features_at_time(tokenized(claims))._jdf.queryExecution().toString()
+    assert len(stored(spark, "timed-claims")) == before + 1
+    # Neither the frames nor their totals read the order lines again.
+    assert "l_orderkey" not in plan
+
+
+@pytest.mark.parametrize("light", [0, 20, 4096])
+@pytest.mark.parametrize("digits", [0, 2])
+def test_totals_of_light_and_large_keys_agree(spark, light, digits):
+    rows = random_rows(22)
+    df = make(spark, rows).withColumn("arrival", F.md5(F.col("id").cast("string")))
+    carry = spark.createDataFrame(
+        [("a", 3, 50, -60 * DAY), ("b", 4, 60, 10 * DAY), ("hot", 5, 70, -41 * DAY), ("z", 9, 9, 9)],
+        "k string, n bigint, total_cents bigint, last_sec bigint",
+    )
+    options = dict(order=["arrival"], slot_digits=digits, light=light)
+    got = running_totals(df, ["k"], 30, **options).collect()
+    want = brute_running([(r.k, r.sec, r.arrival, r.amount_cents, r.id) for r in got], 30)
+    assert {r.id: (r.n, r.total_cents) for r in got} == want
+    lean = df.drop("arrival")
+    digest = F.md5(F.col("id").cast("string"))
+    odd = make(spark, [(None, 5, 1, "p", 900), ("a", None, 2, "q", 901), ("b", 7, None, None, 902)])
+    odd = lean.unionByName(odd).withColumn("arrival", digest)
+    carried = running_totals(odd, ["k"], 30, carry=carry, digest=digest, **options)
+    large = running_totals(odd, ["k"], 30, carry=carry, order=["arrival"], slot_digits=digits, light=0)
+    assert carried.schema == large.schema
+    assert sorted(map(str, carried.collect())) == sorted(map(str, large.collect()))
