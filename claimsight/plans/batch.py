@@ -13,6 +13,7 @@ from claimsight.operators import quality, tables
 from claimsight.operators.features import claim_features, member_features, provider_features
 from claimsight.operators.scoring import above_threshold, score_claims, suppress_repeats
 from claimsight.schemas import CORRUPT
+from claimsight.session import WorkTables
 from claimsight.sources.claims import read_bronze
 
 
@@ -105,11 +106,13 @@ def run_scoring(
     :func:`latest_scores` reads the claims of all runs.
     """
     run = scored_at.strftime("%Y%m%dT%H%M%S")
-    scored = score_claims(quality.dedup(claims), model).withColumn(
+    work = WorkTables()
+    scored = score_claims(quality.dedup(claims), model, store=work).withColumn(
         "scored_at", F.lit(scored_at)
     )
     path = f"{target}/scored/run={run}"
     scored.drop("arrival").write.mode("overwrite").parquet(path)
+    work.remove()
     stored = claims.sparkSession.read.parquet(path)
     alerts = above_threshold(stored)
     if earlier_alerts is not None:
