@@ -275,3 +275,27 @@ def test_totals_of_light_and_large_keys_agree(spark, light, digits):
     large = running_totals(odd, ["k"], 30, carry=carry, order=["arrival"], slot_digits=digits, light=0)
     assert carried.schema == large.schema
     assert sorted(map(str, carried.collect())) == sorted(map(str, large.collect()))
+
+
+@pytest.mark.parametrize("size,slide", [("30 days", "1 day"), ("25 hours", "6 hours")])
+def test_sliding_profiles_of_a_batch(spark, size, slide):
+    """Every window with a row, once; no row is copied for each of its windows."""
+    from claimsight.streaming.flows import sliding_profiles
+
+    rows = random_rows(31) + [(None, 5, 1, "p", 900), ("a", None, 2, "q", 901), ("c", 7, None, None, 902)]
+    df = make(spark, rows)
+    got = sliding_profiles(df, "k", size, slide)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    want = (
+        df.groupBy(F.window("event_time", size, slide).alias("w"), "k")
+        .agg(F.count(F.lit(1)).alias("claim_count"), F.sum("amount_cents"), F.max("amount_cents"))
+        .select("w.start", "w.end", "k", "claim_count", "sum(amount_cents)", "max(amount_cents)")
+    )
+    if size == "30 days":  # else a slide is in a window as a whole or not at all
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    slid = df.groupBy(F.window("event_time", slide).alias("s"), "k").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("t"), F.max("amount_cents").alias("m")
+    )
+    slid = slid.withColumn("at", F.window_time("s")).groupBy(F.window("at", size, slide).alias("w"), "k")
+    slid = slid.agg(F.sum("n"), F.sum("t"), F.max("m")).select("w.start", "w.end", "k", "sum(n)", "sum(t)", "max(m)")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, slid.collect()), key=str)
