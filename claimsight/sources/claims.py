@@ -49,7 +49,8 @@ def parse_lines(
     text = [F.col("value").alias(keep)] if keep else []
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col("value"), _with_corrupt(schema), options)
-    return df.select(parsed.alias("_m"), "value").select(
+    # Generated, not projected: a filter on a parsed column would parse (and make) the line again.
+    return df.select(F.explode(F.array(parsed)).alias("_m"), "value").select(
         *[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields],
         F.when(F.col("_m").isNull(), F.col("value"))
         .otherwise(F.col(f"_m.{CORRUPT}"))

@@ -283,3 +283,42 @@ def test_queries_can_be_listed_without_a_session():
     code = "import __spark_entry__ as e; assert set(e.oracle_sql()) < set(e.queries())"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
+def test_lines_and_changes_are_parsed_once(spark):
+    """A filter on a parsed column neither parses the text again nor makes it again."""
+    made = spark.range(3).select(F.to_json(F.struct(F.col("id").cast("string").alias("claim_id"))).alias("value"))
+    good = src.parse_lines(made).filter("_corrupt_record IS NULL AND claim_id <> '1'")
+    changes = ch.read_changes(made).filter("ts_ms > 0")
+    for df in (good, changes):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1, plan
+    assert sorted(r.claim_id for r in good.collect()) == ["0", "2"]
+
+
+def test_flat_and_enveloped_changes_and_broken_ones(spark):
+    lines = [
+        '{"claim_id": "a", "amount": "1", "__op": "c", "__ts_ms": 5}',
+        '{"before": {"claim_id": "b"}, "after": null, "op": "d", "ts_ms": 6}',
+        '{"before": null, "after": {"claim_id": "c"}, "op": "u", "ts_ms": "bad"}',
+        '{"claim_id": "d", "__op": "c", "__ts_ms": 7',
+        "[1]",
+        "",
+        None,
+        '{"claim_id": "e"}',
+    ]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {(r.claim_id, r.op, r.ts_ms) for r in ch.read_changes(df).collect()}
+    assert {("a", "c", 5), ("b", "d", 6)} <= got
+    from claimsight.schemas import CHANGE_ENVELOPE, CHANGE_FLAT
+
+    # As two separate readings see the same lines.
+    two = df.filter("value IS NOT NULL").select(
+        F.from_json("value", CHANGE_ENVELOPE).alias("e"), F.from_json("value", CHANGE_FLAT).alias("f")
+    )
+    two = two.selectExpr(
+        "CASE WHEN e.op IS NOT NULL THEN coalesce(e.after, e.before).claim_id ELSE f.claim_id END AS claim_id",
+        "coalesce(e.op, f.__op) AS op",
+        "coalesce(e.ts_ms, f.__ts_ms) AS ts_ms",
+    ).filter("op IS NOT NULL")
+    assert got == {tuple(r) for r in two.collect()}
