@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimsight.schemas import CHANGE_ENVELOPE, CHANGE_FLAT, CLAIM_ROW
 
@@ -15,19 +16,20 @@ def read_changes(df: DataFrame, value: str = "value") -> DataFrame:
     delete carries the row as it was before.
     """
     kept = df.filter(F.col(value).isNotNull())
-    both = kept.select(
-        F.from_json(value, CHANGE_ENVELOPE).alias("e"), F.from_json(value, CHANGE_FLAT).alias("f")
-    )
-    row = F.coalesce(F.col("e.after"), F.col("e.before"))
-    enveloped = F.col("e.op").isNotNull()
+    # Both forms have no field in common, so one pass reads either. It is generated, not
+    # projected: a filter on a parsed column would parse (and make) the text again.
+    either = T.StructType(CHANGE_ENVELOPE.fields + CHANGE_FLAT.fields)
+    both = kept.select(F.explode(F.array(F.from_json(value, either))).alias("c"))
+    row = F.coalesce(F.col("c.after"), F.col("c.before"))
+    enveloped = F.col("c.op").isNotNull()
     columns = [
-        F.when(enveloped, row[f.name]).otherwise(F.col(f"f.{f.name}")).alias(f.name)
+        F.when(enveloped, row[f.name]).otherwise(F.col(f"c.{f.name}")).alias(f.name)
         for f in CLAIM_ROW.fields
     ]
     return both.select(
         *columns,
-        F.coalesce(F.col("e.op"), F.col("f.__op")).alias("op"),
-        F.coalesce(F.col("e.ts_ms"), F.col("f.__ts_ms")).alias("ts_ms"),
+        F.coalesce(F.col("c.op"), F.col("c.__op")).alias("op"),
+        F.coalesce(F.col("c.ts_ms"), F.col("c.__ts_ms")).alias("ts_ms"),
     ).filter(F.col("op").isNotNull())
 
 

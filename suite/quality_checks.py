@@ -390,42 +390,41 @@ def change_lines(spark, sf_dir):
     )
     none = F.lit(None).cast(ch.CLAIM_ROW)
     flat = row(F.lit("PENDING"))
-    created = c.select(
-        F.to_json(
-            F.struct(
-                *[flat[f.name].alias(f.name) for f in ch.CLAIM_ROW.fields],
-                F.lit("c").alias("__op"),
-                F.col("ms").alias("__ts_ms"),
-            )
-        ).alias("value")
-    )
     final = row(F.col("status"))
-    updated = c.filter("status <> 'PENDING'").select(
-        F.to_json(
-            F.struct(
-                row(F.lit("PENDING")).alias("before"),
-                final.alias("after"),
-                F.lit("u").alias("op"),
-                (F.col("ms") + 86_400_000).alias("ts_ms"),
-            )
-        ).alias("value")
+    created = F.to_json(
+        F.struct(
+            *[flat[f.name].alias(f.name) for f in ch.CLAIM_ROW.fields],
+            F.lit("c").alias("__op"),
+            F.col("ms").alias("__ts_ms"),
+        )
+    )
+    updated = F.to_json(
+        F.struct(
+            row(F.lit("PENDING")).alias("before"),
+            final.alias("after"),
+            F.lit("u").alias("op"),
+            (F.col("ms") + 86_400_000).alias("ts_ms"),
+        )
+    )
+    deleted = F.to_json(
+        F.struct(
+            final.alias("before"),
+            none.alias("after"),
+            F.lit("d").alias("op"),
+            (F.col("ms") + 2 * 86_400_000).alias("ts_ms"),
+        )
     )
-    deleted = c.filter("amount_cents = 0").select(
-        F.explode(
-            F.array(
-                F.to_json(
-                    F.struct(
-                        final.alias("before"),
-                        none.alias("after"),
-                        F.lit("d").alias("op"),
-                        (F.col("ms") + 2 * 86_400_000).alias("ts_ms"),
-                    )
-                ),
-                F.lit(None).cast("string"),
-            )
-        ).alias("value")
+    # All lines of a claim in one pass; a delete is followed by a tombstone.
+    line = lambda text: F.struct(text.alias("value"))
+    gone = F.col("amount_cents") == 0
+    lines = F.array(
+        line(created),
+        F.when(F.col("status") != "PENDING", line(updated)),
+        F.when(gone, line(deleted)),
+        F.when(gone, line(F.lit(None).cast("string"))),
     )
-    return created.unionByName(updated).unionByName(deleted)
+    present = F.filter(lines, lambda x: x.isNotNull())
+    return c.select(F.explode(present).alias("line")).select("line.value")
 
 
 def changes(spark, sf_dir):
