@@ -128,3 +128,12 @@ def test_suppression(spark):
     alerts = spark.createDataFrame([("a",), ("b",)], "claim_id string")
     earlier = spark.createDataFrame([("b",), ("b",)], "claim_id string")
     assert [r[0] for r in sc.suppress_repeats(alerts, earlier).collect()] == ["a"]
+
+
+def test_first_claim_and_previous_second_come_from_one_aggregation(spark, claims):
+    """Two joins at most: the day's carried second, and back to the rows."""
+    from claimsight.operators.scoring import duplicate_claims
+
+    plan = duplicate_claims(claims)._jdf.queryExecution().optimizedPlan().toString()
+    base = claims._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join " not in base and plan.count("Join ") == 2
