@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,10 @@ from claimsight.session import WorkTables, materialize
 LEAST_CHARS = 20
 CHARS_AN_EDIT = 30
 MAX_EDITS = 3
-#: Keys with more index rows times rows than this are split by their lines' remainders if
-#: their pairs outnumber all rows and their index rows the keys of a line, so many times at most.
-HOT_PAIRS = 4096
+#: Keys with more index rows than this, so many possible pairs for each of their rows, are split by
+#: their lines' remainders if their pairs outnumber all rows and their index rows the keys of a
+#: line, so many times at most. A pair costs a comparison of bits, a split makes many rows of one.
+HOT_PAIRS = 512
 SPLITS = 4
 #: Bits that spare lines without candidates a shuffle (fixed size: 1 MB).
 SLOTS = 1 << 23
@@ -145,19 +148,24 @@ def within(a: Column, b: Column, edits: int | Column) -> Column:
     )
 
 
-def letter_counts(line: Column) -> Column:
-    """How often each of the letters a to z occurs. An edit changes the counts by 2 at most."""
-    return F.array(
-        *[(F.char_length(line) - F.char_length(F.translate(line, c, ""))) for c in "abcdefghijklmnopqrstuvwxyz"]
-    )
+def signature(line: Column) -> list[Column]:
+    """Two longs: how often each of the letters a to z occurs, modulo 8, in four bits a letter.
+
+    Codes of neighbouring counts differ in one bit, so an edit changes 2 bits at most.
+    """
+    codes = F.array(*[F.lit(c).cast("long") for c in (0, 1, 3, 7, 15, 14, 12, 8)])
+
+    def bits(letter: str, at: int) -> Column:
+        count = F.char_length(line) - F.char_length(F.translate(line, letter, ""))
+        return F.shiftleft(F.get(codes, F.pmod(count, F.lit(8))), 4 * at)
+
+    return [reduce(Column.bitwiseOR, [bits(c, k) for k, c in enumerate(half)]) for half in ("abcdefghijklm", "nopqrstuvwxyz")]
 
 
 def may_be_within(edits: Column) -> Column:
-    """False only for pairs (na, sa, nb, sb: length and letter counts) beyond the edits."""
-    changes = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x
-    )
-    return F.when(F.abs(F.col("na") - F.col("nb")) <= edits, changes <= 2 * edits).otherwise(False)
+    """False only for sides a and b (n, x, y: length and signature) beyond the edits."""
+    changes = sum(F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in "xy")
+    return (F.abs(F.col("a.n") - F.col("b.n")) <= edits) & (changes <= 2 * edits)
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -194,12 +202,12 @@ def differing(a: Column, b: Column) -> Column:
     return bound(bound(F.struct(a.alias("a"), b.alias("b")), without_start), without_start)
 
 
-def near_pairs(texts: DataFrame, wanted, edits: int, work: WorkTables) -> tuple[DataFrame, DataFrame]:
-    """Pairs of ids of different texts that share a segment: all pairs within the edits, and more.
+def near_rows(texts: DataFrame, wanted, edits: int, work: WorkTables) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, id, both): all different texts within the edits share a key, one of them as ``both``.
 
-    ``texts`` has (id, line), repeated freely; ``wanted(ids)`` gives one row (id, line) for
-    each of the ids. Keys of a single text are dropped by an aggregation that combines on the
-    map side. A hot key, shared by many texts, is not joined with itself: its texts must be
+    ``texts`` has (id, line), repeated freely; ``wanted(ids)`` gives one row (id, line, ..) for
+    each of the ids, and is returned as well. Keys of a single text are dropped by an aggregation
+    that combines on the map side. A hot key, shared by many texts, is left out: its texts must be
     near in what the shared segment leaves, so that remainder is cut into segments again, with
     the edits of the key, up to SPLITS times.
     """
@@ -212,7 +220,9 @@ def near_pairs(texts: DataFrame, wanted, edits: int, work: WorkTables) -> tuple[
     )
     rows = keyed(first, edits)
     keys = work(shared(rows), "line-keys")
-    # Most keys are no one else's: the bits hold these back before the rows are shuffled.
+    # Most keys are no one else's: the bits hold these back before the rows are shuffled. A filter
+    # does not pass the explode, below which it would work out the key of every row anew.
+    rows = rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("row")).select("row.*")
     rows = work(rows.filter(may_be_among(keys, "key")).join(keys, "key").distinct(), "line-rows")
     known = work(wanted(rows.select("id").distinct()), "line-texts")
     todo = known.select(F.col("id").alias("name"), F.col("line").alias("rest"))
@@ -225,18 +235,15 @@ def near_pairs(texts: DataFrame, wanted, edits: int, work: WorkTables) -> tuple[
             F.first("edits").alias("edits"),
         )
         pairs = F.col("indexed") * F.col("rows")
-        large = (pairs > HOT_PAIRS) & (F.col("indexed") > F.get(each, F.col("edits") - 1))
+        large = (F.col("indexed") > HOT_PAIRS) & (F.col("indexed") > F.get(each, F.col("edits") - 1))
         load = work(load.select("key", "rows", pairs.alias("pairs"), large.alias("large")), "line-load")
         hot = load.filter("large")
         many = hot.agg(F.sum("pairs")).first()[0] or 0
         split = level < SPLITS and many > (load.agg(F.sum("rows")).first()[0] or 0)
         load = load.withColumn("hot", F.col("large") & F.lit(split))
         cold = rows.join(load.filter("NOT hot"), "key")
-        left = cold.filter("both").select("key", F.col("id").alias("a"))
-        right = cold.select("key", F.col("id").alias("b"), F.col("both").alias("peer"))
-        pairs = left.join(right, "key").filter("a < b OR (a <> b AND NOT peer)")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = pairs if found is None else found.unionByName(pairs)
+        cold = cold.select("key", "id", "both")
+        found = cold if found is None else found.unionByName(cold)
         if not split:
             break
         again = rows.join(load.filter("hot").select("key"), "key").join(todo.select("name", "rest"), "name")
@@ -248,7 +255,45 @@ def near_pairs(texts: DataFrame, wanted, edits: int, work: WorkTables) -> tuple[
         todo = work(again.withColumn("name", F.xxhash64("id", "context", "rest")), "line-rests")
         deeper = keyed(todo, edits)
         rows = work(deeper.join(shared(deeper), "key").distinct(), "line-rows")
-    return work(found.distinct(), "line-pairs"), known
+    return found, known
+
+
+def later_copies(rows: DataFrame, known: DataFrame, edits: int, work: WorkTables) -> DataFrame:
+    """Ids of the texts that have an earlier one within the edits.
+
+    ``rows`` and ``known`` come from :func:`near_rows`, ``known`` with first, n, x and y. A text needs
+    one earlier partner, not all: it is tried with the earliest text of each of its keys, then,
+    if still open, with its earliest likely partner and only then with the others. So copies of
+    one text do not meet in all pairs.
+    """
+    sides = rows.join(known.select("id", "first", "n", "x", "y"), "id")
+    side = F.struct("first", "id", "n", "x", "y", "both")
+    apart = edits_of(F.least("a.n", "b.n"), edits)
+    pair = [F.col("b.id").alias("id"), F.col("a.id").alias("other"), F.col("a.first").alias("first")]
+    likely = (F.col("a.first") < F.col("b.first")) & (F.col("a.both") | F.col("b.both")) & may_be_within(apart)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        text = known.select("id", "line", "n")
+        others = known.select(F.col("id").alias("other"), F.col("line").alias("other_line"), F.col("n").alias("other_n"))
+        pairs = pairs.join(text, "id").join(others, "other")
+        rest = differing(F.col("line"), F.col("other_line")).alias("x")
+        rests = pairs.select("id", edits_of(F.least("n", "other_n"), edits).alias("edits"), rest)
+        letters = [F.when(F.col(f"x.{s}") == "", F.array().cast("array<string>")).otherwise(F.split(f"x.{s}", "")).alias(s) for s in "ab"]
+        # Stored, or the band would take the strings apart anew for every letter that it looks at.
+        rests = work(rests.select("id", "edits", *letters), "line-rests")
+        return work(rests.filter(within(F.col("a"), F.col("b"), F.col("edits"))).select("id").distinct(), "line-near")
+
+    pivots = sides.filter("both").groupBy("key").agg(F.min(side).alias("a"))
+    stars = sides.select("key", side.alias("b")).join(pivots, "key").filter(likely).select(*pair).distinct()
+    stars = work(stars, "line-stars")
+    near = confirmed(stars.select("id", "other"))
+    late = sides.join(near, "id", "left_anti").select("key", side.alias("b"))
+    pairs = late.join(sides.select("key", side.alias("a")), "key").filter(likely).select(*pair).distinct()
+    pairs = work(pairs.join(stars, ["id", "other"], "left_anti"), "line-pairs")
+    first = work(pairs.groupBy("id").agg(F.min(F.struct("first", "other")).alias("a")).select("id", "a.other"), "line-firsts")
+    more = confirmed(first)
+    rest = pairs.select("id", "other").join(first, ["id", "other"], "left_anti").join(more, "id", "left_anti")
+    return near.unionByName(more).unionByName(confirmed(rest)).distinct()
 
 
 def may_be_among(ids: DataFrame, name: str = "id") -> Column:
@@ -304,38 +349,17 @@ def dedup(
     long = lines.filter(F.char_length("line") >= least_chars).select("id", "line", place.alias("first"))
 
     def wanted(ids: DataFrame) -> DataFrame:
-        return (
+        found = (
             long.filter(may_be_among(ids))
             .join(ids, "id", "left_semi")
             .groupBy("id")
             .agg(F.min("first").alias("first"), F.min("line").alias("line"))
         )
+        x, y = signature(F.col("line"))
+        return found.select("*", F.char_length("line").alias("n"), x.alias("x"), y.alias("y"))
 
-    pairs, known = near_pairs(long.select("id", "line"), wanted, edits, work)
-    known = work(
-        known.select("id", "first", "line", F.char_length("line").alias("n"), letter_counts(F.col("line")).alias("counts")),
-        "line-signs",
-    )
-    signs = [known.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("counts").alias(f"s{s}")) for s in "ab"]
-    apart = edits_of(F.least("na", "nb"), edits)
-    likely = pairs.join(signs[0], "a").join(signs[1], "b").filter(may_be_within(apart))
-    likely = work(likely.select("a", "b", apart.alias("edits")), "line-likely")
-    for s in "ab":
-        text_of = known.select(F.col("id").alias(s), F.col("first").alias(f"f{s}"), F.col("line").alias(f"l{s}"))
-        likely = likely.join(text_of, s)
-    rests = likely.select(
-        F.col("a").alias("ia"), F.col("b").alias("ib"), "fa", "fb", "edits", differing(F.col("la"), F.col("lb")).alias("x")
-    )
-    letters = [F.when(F.col(f"x.{s}") == "", F.array().cast("array<string>")).otherwise(F.split(f"x.{s}", "")).alias(s) for s in "ab"]
-    # Stored, or the band would take the strings apart anew for every letter that it looks at.
-    linked = work(rests.select("ia", "ib", "fa", "fb", "edits", *letters), "line-rests")
-    linked = linked.filter(within(F.col("a"), F.col("b"), F.col("edits")))
-    later = work(
-        linked.select(F.when(F.col("fa") < F.col("fb"), F.col("ib")).otherwise(F.col("ia")).alias("id"))
-        .distinct()
-        .withColumn("near", F.lit(True)),
-        "line-near",
-    )
+    rows, known = near_rows(long.select("id", "line"), wanted, edits, work)
+    later = work(later_copies(rows, known, edits, work).withColumn("near", F.lit(True)), "line-later")
     status = (
         F.when(~place.eqNullSafe(F.col("first")), EXACT).when(F.col("near"), NEAR).otherwise(KEEP)
     )

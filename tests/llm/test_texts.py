@@ -222,3 +222,23 @@ def test_parity_bits_are_compared_in_batches(spark):
     assert {(1, 2), (3, 4)} <= got and (1, 5) not in got
     assert jaccard._may_match(points, pairs.limit(0), 75).count() == 0
     assert "lambdafunction" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_of_one_line_do_not_meet_in_all_pairs(spark, monkeypatch):
+    """A line needs one earlier partner: tables of pairs grow with the lines of a group."""
+    stored = {}
+
+    class Counted(lines.WorkTables):
+        def __call__(self, df, name):
+            df = super().__call__(df, name)
+            stored[name] = max(stored.get(name, 0), df.count())
+            return df
+
+    monkeypatch.setattr(lines, "WorkTables", Counted)
+    base = "the same line of some thirty letters and a little more, word for word, and so on to its end"
+    found = [base] + [base[:k] + c + base[k + 1 :] for k in range(60) for c in "VWXY"]
+    got = lines.dedup(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.n_near} == set(range(1, len(found)))
+    most = len(lines.probes(lines.MAX_EDITS)) * len(found)
+    assert most < len(found) * (len(found) - 1) / 2
+    assert all(n <= most for name, n in stored.items() if name in ("line-pairs", "line-stars", "line-rests")), stored
