@@ -322,3 +322,26 @@ def test_flat_and_enveloped_changes_and_broken_ones(spark):
         "coalesce(e.ts_ms, f.__ts_ms) AS ts_ms",
     ).filter("op IS NOT NULL")
     assert got == {tuple(r) for r in two.collect()}
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    import time
+
+    from claimsight.session import WorkTables
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = [files.getAllFiles().apply(i).getName() for i in range(files.getAllFiles().size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before, work = shuffles(), WorkTables()
+    rows = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    kept = work(rows, "counts")
+    for _ in range(100):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, rows.collect()))
+    work.remove()
