@@ -166,3 +166,18 @@ def test_search_and_promotion(spark, claims):
     assert chosen is best and gain > 0
     kept, gain = md.promote(best, weak, rows)
     assert kept is best and gain < 0
+
+
+def test_raw_lines_are_kept_compressed(spark, sf):
+    """The archive of valid lines, and the raw lines that the queries make for it."""
+    from suite.streams import raw_lines
+
+    folder = raw_lines(spark, sf)
+    archive = work_path(spark, "archive")
+    lines = read_claims_stream(spark, path=folder)
+    flows.archive_raw(lines, archive, f"{archive}-c", every=None).awaitTermination()
+    for path in (folder, archive):
+        assert all(f.endswith(".gz") for f in spark.read.text(path).inputFiles())
+    valid = spark.read.text(folder).filter("value LIKE '%}'")
+    kept = spark.read.text(archive).select("value")
+    assert kept.exceptAll(valid).isEmpty() and valid.exceptAll(kept).isEmpty()
