@@ -276,7 +276,8 @@ def claim_features(
 def claim_features_at_time(claims: DataFrame) -> DataFrame:
     """Each claim with the profiles as they stood at its own time.
 
-    The claims are stored once, and both profiles are taken from them.
+    The claims are stored once, and both profiles are taken from them. Claims with the first
+    profile are stored too, so shuffle files of one frame at a time are held.
     """
     claims = materialize(claims, "timed-claims")
     p = rolling_frame(
@@ -284,8 +285,9 @@ def claim_features_at_time(claims: DataFrame) -> DataFrame:
     ).withColumnsRenamed(
         {"n": "p_n", "total_cents": "p_total", "max_cents": "p_max", "squares": "p_sq"}
     )
+    p = p.withColumnRenamed("kinds", "distinct_procedures_30d")
     both = rolling_frame(
-        p.withColumnRenamed("kinds", "distinct_procedures_30d"),
+        materialize(p, "provider-timed"),
         ["member_id_token"],
         90,
         kind="provider_npi_token",

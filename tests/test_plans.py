@@ -5,6 +5,7 @@ import subprocess
 import sys
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimsight.operators import quality, tables
@@ -345,3 +346,29 @@ def test_stored_frames_leave_no_shuffle_files(spark):
     assert not left
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, rows.collect()))
     work.remove()
+
+
+@pytest.mark.parametrize("name", ["claim_features", "deviating_claims", "billed_twice_24h", "prior_claims_24h"])
+def test_claims_are_derived_once_and_stored(spark, sf, name):
+    """What is left of the query reads work tables, not the order lines over and over."""
+    from suite import load
+
+    files = load().QUERIES[name](spark, sf).inputFiles()
+    assert files and not any(sf in f for f in files)
+
+
+def test_raw_claims_are_written_compressed(spark, sf):
+    from suite import load
+
+    files = load().QUERIES["read_bronze"](spark, sf).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_first_profile_at_time_is_stored(spark, claims):
+    """The second frame starts from a table: shuffle files of the first are gone by then."""
+    from suite.fixture import tokenized
+
+    from claimsight.operators.features import claim_features_at_time
+
+    files = claim_features_at_time(tokenized(claims)).inputFiles()
+    assert any("provider-timed" in f for f in files)
